@@ -27,8 +27,11 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+EXACT = bool(__import__("os").environ.get("EXACT"))
+
+
 def _norm(v):
-    if isinstance(v, float):
+    if isinstance(v, float) and not EXACT:
         if math.isnan(v):
             return "nan"
         return float(f"{v:.9g}")

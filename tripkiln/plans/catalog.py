@@ -28,6 +28,7 @@ from tripkiln.plans.gold import gold
 from tripkiln.plans.silver import silver
 from tripkiln.schema import CAST_SPEC
 from tripkiln.sources import tables
+from tripkiln.sources.staging import stage
 from tripkiln.sources.fixtures import RAW_TRIPS_SQL, TRIP_KEYS, TRIPS_SQL, raw_trips, trips
 
 # fixed batch time of the registered silver runs (keeps results comparable)
@@ -171,11 +172,14 @@ def q_encode_ordinal(spark, sf):
 
 
 def q_silver_clean(spark, sf):
-    return silver(raw_trips(spark, sf), SilverConfig(), cast_missing="skip", batch_time=BATCH_TIME)
+    return silver(
+        raw_trips(spark, sf), SilverConfig(), cast_missing="skip", batch_time=BATCH_TIME, stage_typed=True
+    )
 
 
 def q_gold_features(spark, sf):
-    return gold(q_silver_clean(spark, sf))
+    # gold reads the written silver table, as the two stages do in production
+    return gold(stage(q_silver_clean(spark, sf), "silver"))
 
 
 QUERIES: dict[str, Query] = {

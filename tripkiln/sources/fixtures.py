@@ -6,9 +6,10 @@ is a fixed function of the joined row, including nulls, zero distances,
 zero durations and single-token names. The projection grows with the
 tables (one trip per line item).
 
-Both joins are equi-joins on the tables' keys; neither side is broadcast
-by hint (``orders`` and ``part`` grow with the scale factor); AQE picks a
-broadcast at run time when a side is small.
+Both joins are equi-joins on the tables' keys. ``lineitem ⋈ orders`` is
+pinned to a shuffle join (both grow with the scale factor); ``part`` is left
+to the planner, which broadcasts it only while its size is under the
+broadcast threshold.
 """
 
 from __future__ import annotations
@@ -32,7 +33,12 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
-    j = li.join(orders, li.l_orderkey == orders.o_orderkey).join(part, li.l_partkey == part.p_partkey)
+    # lineitem and orders are the two largest tables: pin the shuffle
+    # (sort-merge) join that runs at scale, instead of a broadcast chosen from
+    # small test files, which would keep all row work in the scan's tasks.
+    j = li.join(orders.hint("merge"), li.l_orderkey == orders.o_orderkey).join(
+        part, li.l_partkey == part.p_partkey
+    )
 
     ok, ln, pk, sk, ck = (F.col(c) for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "o_custkey"))
     base = (ok * 37 + ln * 3600 + pk * 60) % 86400
