@@ -57,6 +57,20 @@ def compute_columns(df: DataFrame, exprs: dict | None = None) -> DataFrame:
     return df.withColumns(exprs) if exprs else df
 
 
+def utc_batch_time(batch_time: _dt.datetime | None = None) -> _dt.datetime:
+    """A naive UTC datetime: ``batch_time`` converted, or now."""
+    if batch_time is None:
+        return _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+    if batch_time.tzinfo is not None:
+        return batch_time.astimezone(_dt.timezone.utc).replace(tzinfo=None)
+    return batch_time
+
+
+def epoch_seconds_of(batch_time: _dt.datetime) -> int:
+    """Whole epoch seconds of a naive UTC datetime (floored)."""
+    return int((batch_time - _dt.datetime(1970, 1, 1)).total_seconds() // 1)
+
+
 def add_ingest_columns(
     df: DataFrame,
     batch_time: _dt.datetime | None = None,
@@ -69,11 +83,8 @@ def add_ingest_columns(
     same instant with microseconds as a timestamp. Without ``batch_time`` the
     driver's current UTC time is used, fixed once for the whole batch.
     """
-    if batch_time is None:
-        batch_time = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-    if batch_time.tzinfo is not None:
-        batch_time = batch_time.astimezone(_dt.timezone.utc).replace(tzinfo=None)
-    epoch = int((batch_time - _dt.datetime(1970, 1, 1)).total_seconds() // 1)
+    batch_time = utc_batch_time(batch_time)
+    epoch = epoch_seconds_of(batch_time)
     return df.withColumns(
         {
             epoch_column: F.lit(epoch).cast("long"),
