@@ -14,21 +14,25 @@ Spark (``trunc``); ``x/0`` is ``inf`` in DuckDB (``nullif``).
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from collections.abc import Callable
 
-from pyspark.ml.feature import StringIndexer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tripkiln.config import SilverConfig
 from tripkiln.operators import aggregates as A
 from tripkiln.operators import cleanse, features, privacy
+from tripkiln.operators.encode import encode_ordinal
 from tripkiln.operators.impute import impute_mean, impute_mode
 from tripkiln.plans.gold import gold
 from tripkiln.plans.silver import silver
 from tripkiln.schema import CAST_SPEC
 from tripkiln.sources import tables
+from tripkiln.session import checkpoint_dir
 from tripkiln.sources.staging import stage
+from tripkiln.streaming.ingest import silver_stream
 from tripkiln.sources.fixtures import RAW_TRIPS_SQL, TRIP_KEYS, TRIPS_SQL, raw_trips, trips
 
 # fixed batch time of the registered silver runs (keeps results comparable)
@@ -164,11 +168,30 @@ def q_incremental_load(spark, sf):
 
 
 def q_encode_ordinal(spark, sf):
-    t = trips(spark, sf)
-    model = StringIndexer(
-        inputCol="store_and_fwd_flag", outputCol="store_and_fwd_flag_index", handleInvalid="keep"
-    ).fit(t)
-    return _keys_and(model.transform(t), "store_and_fwd_flag", "store_and_fwd_flag_index")
+    out = encode_ordinal(trips(spark, sf), ("store_and_fwd_flag",))
+    return _keys_and(out, "store_and_fwd_flag", "store_and_fwd_flag_index")
+
+
+def q_split_name_exploded(spark, sf):
+    out = privacy.split_names_exploded(
+        trips(spark, sf), "passenger_fullname", ("passenger_first_name", "passenger_last_name"), KEYS
+    )
+    return _keys_and(out, "passenger_fullname", "passenger_first_name", "passenger_last_name")
+
+
+def q_stream_ingest(spark, sf):
+    """Raw trips land as CSV files; an available-now stream ingests them."""
+    base = f"{checkpoint_dir(spark).rstrip('/')}/tripkiln-stream/{uuid.uuid4().hex}"
+    raw = raw_trips(spark, sf)
+    raw.write.option("header", True).csv(f"{base}/landing")
+    file_schema = StructType(
+        [f if f.name in KEYS or f.name == "batch_no" else StructField(f.name, StringType()) for f in raw.schema]
+    )
+    silver_stream(
+        spark, f"{base}/landing", f"{base}/silver", f"{base}/checkpoint",
+        schema=file_schema, cast_missing="skip", batch_time=BATCH_TIME,
+    )
+    return spark.read.parquet(f"{base}/silver")
 
 
 def q_silver_clean(spark, sf):
@@ -202,6 +225,8 @@ QUERIES: dict[str, Query] = {
     "high_water_mark": q_high_water_mark,
     "incremental_load": q_incremental_load,
     "encode_ordinal": q_encode_ordinal,
+    "split_name_exploded": q_split_name_exploded,
+    "stream_ingest": q_stream_ingest,
     "silver_clean": q_silver_clean,
     "gold_features": q_gold_features,
 }
@@ -351,6 +376,10 @@ ORACLES: dict[str, str] = {
     "impute_mode": _with(_TRIPS) + _mode_filled("trips"),
     "drop_incomplete": _with(_TRIPS) + f"select {_K}, {_TRIP_COLS} from trips where fare_amount is not null",
     "split_name": _with(_TRIPS)
+    + f"""select {_K}, passenger_fullname,
+      string_split(passenger_fullname, ' ')[1] as passenger_first_name,
+      string_split(passenger_fullname, ' ')[2] as passenger_last_name from trips""",
+    "split_name_exploded": _with(_TRIPS)
     + f"""select {_K}, passenger_fullname,
       string_split(passenger_fullname, ' ')[1] as passenger_first_name,
       string_split(passenger_fullname, ' ')[2] as passenger_last_name from trips""",
@@ -418,5 +447,6 @@ ORACLES: dict[str, str] = {
       cast(coalesce(idx, (select count(*) from labels)) as double) as store_and_fwd_flag_index
       from trips left join labels on store_and_fwd_flag = v""",
     "silver_clean": _with(*_SILVER_CTES) + "select * from silver",
+    "stream_ingest": _with(*_SILVER_CTES) + "select *, 0 as batch_id from silver",
     "gold_features": _with(*_SILVER_CTES) + _GOLD_ROW,
 }
