@@ -75,7 +75,10 @@ def main(argv):
 
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     names = argv[2:] or list(E.queries())
-    spark = local_session()
+    import os
+
+    tz = os.environ.get("TK_TZ")
+    spark = local_session(**({"spark.sql.session.timeZone": tz} if tz else {}))
     con = duck(sf_dir)
     qs, os_ = E.queries(), E.oracle_sql()
     bad = 0

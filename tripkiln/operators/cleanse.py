@@ -88,7 +88,8 @@ def add_ingest_columns(
     return df.withColumns(
         {
             epoch_column: F.lit(epoch).cast("long"),
-            datetime_column: F.lit(batch_time).cast("timestamp_ntz"),
+            # from text: a datetime literal would pass through local zones
+            datetime_column: F.lit(batch_time.isoformat(sep=" ")).cast("timestamp_ntz"),
         }
     )
 

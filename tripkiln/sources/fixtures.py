@@ -116,7 +116,9 @@ def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     def text(c: str) -> Column:
         return F.col(c).cast("string")
 
-    iso = F.date_format("lpep_pickup_datetime", "yyyy-MM-dd'T'HH:mm:ss")
+
+    # zone-free text of the wall-clock time, in ISO 'T' form
+    iso = F.translate(text("lpep_pickup_datetime"), " ", "T")
     return t.withColumns(
         {
             "VendorID": F.when(ok % 23 == 0, F.lit("1e12")).otherwise(text("VendorID")),
