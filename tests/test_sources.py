@@ -100,8 +100,27 @@ def test_batch_write_is_idempotent(spark, tmp_path):
 
 def test_fanout_and_csv(spark, tmp_path):
     df = spark.createDataFrame([(1, "a")], "x int, y string")
-    written = write_fanout(spark, df, str(tmp_path / "p"), [("csv", str(tmp_path / "c"))])
+    sinks = [("parquet", str(tmp_path / "p"), "append"), ("csv", str(tmp_path / "c"), "overwrite")]
+    group = "fanout"
+    spark.sparkContext.setJobGroup(group, group)
+    written = write_fanout(df.selectExpr("x", "upper(y) as y"), sinks)
+    write_fanout(df.selectExpr("x", "upper(y) as y"), sinks[:1])
     assert written.count() == 1
-    assert spark.read.csv(str(tmp_path / "c")).count() == 1
+    assert spark.read.parquet(str(tmp_path / "p")).count() == 2
+    assert spark.read.option("header", True).csv(str(tmp_path / "c")).collect()[0]["y"] == "A"
     write_csv(df, str(tmp_path / "h"), header=True)
     assert spark.read.option("header", True).csv(str(tmp_path / "h")).columns == ["x", "y"]
+
+
+def test_required_first_order(spark):
+    from tripkiln.config import SilverConfig
+    from tripkiln.plans.silver import silver
+    from tripkiln.schema import CastRule
+
+    spec = (CastRule("fare_amount", "double", 2), CastRule("n", "int"))
+    df = spark.createDataFrame([("10", "1"), (None, "2"), ("20", None)], "fare_amount string, n string")
+    default = silver(df, spec=spec, stamp=False)
+    assert sorted(rows(default)) == [(10.0, 1), (15.0, 2), (20.0, 1)]
+    strict = silver(df, SilverConfig(order="required_first"), spec=spec, stamp=False)
+    # the row without a fare is dropped before the statistics are taken
+    assert sorted(rows(strict)) == [(10.0, 1), (20.0, 1)]

@@ -58,9 +58,9 @@ class SilverConfig:
     # False: the full mask overwrites nulls too (distributed variant);
     # True: nulls stay null (single-machine variant).
     full_mask_keep_null: bool = False
-    # "reference": impute then drop incomplete rows (the drop never fires
+    # "impute_first": impute then drop incomplete rows (the drop never fires
     # for numeric required columns); "required_first": drop, then impute.
-    order: str = "reference"
+    order: str = "impute_first"
 
 
 @dataclass(frozen=True)
