@@ -38,7 +38,8 @@ from tripkiln.sources.fixtures import RAW_TRIPS_SQL, TRIP_KEYS, TRIPS_SQL, raw_t
 # fixed batch time of the registered silver runs (keeps results comparable)
 BATCH_TIME = _dt.datetime(2024, 1, 1, 0, 0, 0)
 BATCH_EPOCH = 1704067200
-PROCESSED_BATCHES = 2  # batches 0..2 of the fixture count as already loaded
+# trips picked up before this time count as already loaded into the target
+LOADED_BEFORE = "1999-01-01 00:00:00"
 
 Query = Callable[[SparkSession, str], DataFrame]
 KEYS = list(TRIP_KEYS)
@@ -151,20 +152,22 @@ def q_driver_experience(spark, sf):
     return _keys_and(A.driver_experience_level(trips(spark, sf)), "driver_email", "driver_experience_level")
 
 
-def _processed_and_source(spark, sf):
+def _loaded_and_source(spark, sf):
+    """The target holds the trips picked up before the cut; the source all."""
     t = trips(spark, sf)
-    return t.where(F.col("batch_no") <= PROCESSED_BATCHES), t
+    loaded = t.where(F.col("lpep_pickup_datetime") < F.lit(LOADED_BEFORE).cast("timestamp_ntz"))
+    return loaded, t
 
 
 def q_high_water_mark(spark, sf):
-    processed, _ = _processed_and_source(spark, sf)
-    return A.high_water_mark(processed, "batch_no")
+    loaded, _ = _loaded_and_source(spark, sf)
+    return A.high_water_mark(loaded, "lpep_pickup_datetime")
 
 
 def q_incremental_load(spark, sf):
-    processed, source = _processed_and_source(spark, sf)
-    mark = tables.last_value(processed, "batch_no")
-    return tables.newer_than(source, "batch_no", mark)
+    loaded, source = _loaded_and_source(spark, sf)
+    mark = tables.last_value(loaded, "lpep_pickup_datetime")
+    return tables.newer_than(source, "lpep_pickup_datetime", mark)
 
 
 def q_encode_ordinal(spark, sf):
@@ -430,10 +433,12 @@ ORACLES: dict[str, str] = {
       case when driver_email is not null then count(*) over (partition by driver_email) end
       as driver_experience_level from trips""",
     "high_water_mark": _with(_TRIPS)
-    + f"select max(batch_no) as high_water_mark from trips where batch_no <= {PROCESSED_BATCHES}",
+    + f"""select max(lpep_pickup_datetime) as high_water_mark from trips
+      where lpep_pickup_datetime < timestamp '{LOADED_BEFORE}'""",
     "incremental_load": _with(_TRIPS)
     + f"""select {_K}, {_TRIP_COLS} from trips
-      where batch_no > (select max(batch_no) from trips where batch_no <= {PROCESSED_BATCHES})""",
+      where lpep_pickup_datetime > (select max(lpep_pickup_datetime) from trips
+                                    where lpep_pickup_datetime < timestamp '{LOADED_BEFORE}')""",
     "encode_ordinal": _with(
         _TRIPS,
         (
