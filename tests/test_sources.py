@@ -6,7 +6,13 @@ from tripkiln.plans.runs import run_gold, run_silver
 from tripkiln.schema import RAW_COLUMNS
 from tripkiln.sources.files import read_raw_csv
 from tripkiln.sources.sinks import write_batch, write_csv, write_fanout
-from tripkiln.sources.tables import last_processed, newer_than, observe_rows, read_increment
+from tripkiln.sources.tables import (
+    epoch_partition_floor,
+    last_processed,
+    newer_than,
+    observe_rows,
+    read_increment,
+)
 
 
 def _raw_line(i, fare="12.5", email=None, name="Ann Lee"):
@@ -63,6 +69,11 @@ def test_silver_and_gold_runs_are_incremental(spark, tmp_path):
     assert run_gold(spark, silver_path, gold_path).count() == 0
 
     run_silver(spark, raw2, silver_path, batch_time=dt.datetime(2024, 1, 2, 0, 0, 0))
+    # the increment read prunes the older ingest_date partition
+    inc = epoch_partition_floor(newer_than(spark.read.parquet(silver_path), "ingest_timestamp", 1704067200), 1704067200)
+    plan = inc._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(ingest_date" in plan and "2024-01-01" in plan
+    assert inc.count() == 3
     g2 = run_gold(spark, silver_path, gold_path)
     assert g2.count() == 3
     # counts cover the increment only
