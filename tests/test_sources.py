@@ -135,3 +135,19 @@ def test_required_first_order(spark):
     strict = silver(df, SilverConfig(order="required_first"), spec=spec, stamp=False)
     # the row without a fare is dropped before the statistics are taken
     assert sorted(rows(strict)) == [(10.0, 1), (20.0, 1)]
+
+
+def test_staged_copy_is_removed(spark):
+    import os
+    from urllib.parse import urlparse
+
+    from tripkiln.session import checkpoint_dir
+    from tripkiln.sources.staging import staged
+
+    base = os.path.normpath(urlparse(checkpoint_dir(spark)).path)
+    with staged(spark.range(0, 10), "probe") as df:
+        assert df.count() == 10
+        path = os.path.normpath(urlparse(df.inputFiles()[0]).path)
+        folder = os.path.dirname(path)
+        assert os.path.isdir(folder) and folder.startswith(base)
+    assert not os.path.exists(folder)

@@ -10,16 +10,44 @@ not from the source) and lets every branch read only the columns it needs.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from tripkiln.session import checkpoint_dir
 
 
+def _new_path(spark: SparkSession, label: str) -> str:
+    return f"{checkpoint_dir(spark).rstrip('/')}/tripkiln-stage/{label}-{uuid.uuid4().hex}"
+
+
 def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write ``df`` as parquet under ``spark.checkpoint.dir`` and read it back."""
     spark = df.sparkSession
-    base = checkpoint_dir(spark).rstrip("/")
-    path = f"{base}/tripkiln-stage/{label}-{uuid.uuid4().hex}"
+    path = _new_path(spark, label)
     df.write.mode("error").parquet(path)
     return spark.read.parquet(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a staged folder (through the cluster's file system client)."""
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+@contextmanager
+def staged(df: DataFrame, label: str = "stage") -> Iterator[DataFrame]:
+    """Like :func:`stage`, and delete the staged copy when the block ends.
+
+    Everything that reads the staged frame must have run (written its
+    output) inside the block.
+    """
+    spark = df.sparkSession
+    path = _new_path(spark, label)
+    df.write.mode("error").parquet(path)
+    try:
+        yield spark.read.parquet(path)
+    finally:
+        remove(spark, path)
