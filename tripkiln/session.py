@@ -34,14 +34,21 @@ def checkpoint_dir(spark: SparkSession) -> str:
     On a cluster the folder must be configured (a shared file system); only
     a local-mode session without one gets a fresh temporary folder.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: configuration only
+        sc = None
+    current = (sc.getCheckpointDir() if sc else None) or spark.conf.get("spark.checkpoint.dir", None)
     if current:
-        if not sc.getCheckpointDir():
+        if sc and not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
-    if not sc.master.startswith("local"):
+    master = sc.master if sc else spark.conf.get("spark.master", "")
+    if not master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a shared folder for this cluster")
     path = tempfile.mkdtemp(prefix="tripkiln-ckpt-")
-    sc.setCheckpointDir(path)
-    return sc.getCheckpointDir() or path
+    if sc:
+        sc.setCheckpointDir(path)
+        return sc.getCheckpointDir() or path
+    spark.conf.set("spark.checkpoint.dir", path)
+    return path

@@ -31,10 +31,17 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
 
 
 def remove(spark: SparkSession, path: str) -> None:
-    """Delete a staged folder (through the cluster's file system client)."""
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    """Delete a staged folder (through the cluster's file system client).
+
+    Without a JVM handle (Spark Connect) the folder is left to the checkpoint
+    folder's retention.
+    """
+    try:
+        jvm = spark._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    except AttributeError:
+        return
 
 
 @contextmanager
