@@ -77,8 +77,12 @@ def main(argv):
     names = argv[2:] or list(E.queries())
     import os
 
-    tz = os.environ.get("TK_TZ")
-    spark = local_session(**({"spark.sql.session.timeZone": tz} if tz else {}))
+    conf = {}
+    if os.environ.get("TK_TZ"):
+        conf["spark.sql.session.timeZone"] = os.environ["TK_TZ"]
+    if os.environ.get("TK_PARTITIONS"):
+        conf["spark.sql.shuffle.partitions"] = os.environ["TK_PARTITIONS"]
+    spark = local_session(**conf)
     con = duck(sf_dir)
     qs, os_ = E.queries(), E.oracle_sql()
     bad = 0
