@@ -29,8 +29,11 @@ ORDINAL_ENCODING_COLUMNS: tuple[str, ...] = ("passenger_sex",)
 FULL_MASK_TEXT = "*****"
 PARTIAL_MASK_TEXT = "***"
 PARTIAL_MASK_KEEP = 4
-# the single-machine variant of the pipeline keeps 3 characters on each side
+# the single-machine variant of the pipeline keeps 3 characters on each side,
+# splits only the passenger name and drops only that source column
 PARTIAL_MASK_KEEP_SCRIPT = 3
+SPLIT_COLUMNS_SCRIPT: dict[str, tuple[str, str]] = {"passenger_fullname": ("first_name", "last_name")}
+COLUMNS_TO_DROP_SCRIPT: tuple[str, ...] = ("passenger_fullname",)
 
 # ---------------------------------------------------------------------------
 # fixed values (gold stage)
@@ -62,6 +65,17 @@ class SilverConfig:
     # for numeric required columns); "required_first": drop, then impute.
     order: str = "impute_first"
 
+    @classmethod
+    def script_variant(cls) -> "SilverConfig":
+        """Preset of the single-machine variant: keep-3 partial mask,
+        null-preserving full mask, passenger name split only."""
+        return cls(
+            split=dict(SPLIT_COLUMNS_SCRIPT),
+            drop=COLUMNS_TO_DROP_SCRIPT,
+            partial_keep=PARTIAL_MASK_KEEP_SCRIPT,
+            full_mask_keep_null=True,
+        )
+
 
 @dataclass(frozen=True)
 class GoldConfig:

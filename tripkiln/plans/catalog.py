@@ -203,6 +203,13 @@ def q_silver_clean(spark, sf):
     )
 
 
+def q_silver_script_preset(spark, sf):
+    return silver(
+        raw_trips(spark, sf), SilverConfig.script_variant(), cast_missing="skip",
+        batch_time=BATCH_TIME, stage_typed=True,
+    )
+
+
 def q_gold_features(spark, sf):
     # gold reads the written silver table, as the two stages do in production
     return gold(stage(q_silver_clean(spark, sf), "silver"))
@@ -231,6 +238,7 @@ QUERIES: dict[str, Query] = {
     "split_name_exploded": q_split_name_exploded,
     "stream_ingest": q_stream_ingest,
     "silver_clean": q_silver_clean,
+    "silver_script_preset": q_silver_script_preset,
     "gold_features": q_gold_features,
 }
 
@@ -326,6 +334,15 @@ from filled
 where fare_amount is not null
 """
 
+_SCRIPT_SILVER_FROM_FILLED = (
+    _SILVER_FROM_FILLED.replace("left(passenger_phone_number, 4)", "left(passenger_phone_number, 3)")
+    .replace("right(passenger_phone_number, 4)", "right(passenger_phone_number, 3)")
+    .replace("'*****' as passenger_credit_card",
+             "case when passenger_credit_card is not null then '*****' end as passenger_credit_card")
+    .replace("as passenger_first_name", "as first_name")
+    .replace("as passenger_last_name", "as last_name")
+)
+
 _SILVER_CTES = (
     _TRIPS,
     ("raw", RAW_TRIPS_SQL),
@@ -453,5 +470,7 @@ ORACLES: dict[str, str] = {
       from trips left join labels on store_and_fwd_flag = v""",
     "silver_clean": _with(*_SILVER_CTES) + "select * from silver",
     "stream_ingest": _with(*_SILVER_CTES) + "select *, 0 as batch_id from silver",
+    "silver_script_preset": _with(*_SILVER_CTES[:-1], ("silver", _SCRIPT_SILVER_FROM_FILLED))
+    + "select * from silver",
     "gold_features": _with(*_SILVER_CTES) + _GOLD_ROW,
 }
