@@ -12,7 +12,10 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    s = local_session("*", "tripkiln-tests", **{"spark.sql.shuffle.partitions": "8"})
+    warehouse = str(tmp_path_factory.mktemp("warehouse"))
+    s = local_session(
+        "*", "tripkiln-tests", **{"spark.sql.shuffle.partitions": "8", "spark.sql.warehouse.dir": warehouse}
+    )
     if not s.sparkContext.getCheckpointDir():
         s.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("ckpt")))
     yield s

@@ -151,3 +151,18 @@ def test_staged_copy_is_removed(spark):
         folder = os.path.dirname(path)
         assert os.path.isdir(folder) and folder.startswith(base)
     assert not os.path.exists(folder)
+
+
+def test_catalog_table_append_and_mark(spark):
+    from tripkiln.sources.sinks import append_table
+    from tripkiln.sources.tables import read_table, table_exists
+
+    name = "tk_gold_probe"
+    assert not table_exists(spark, name)
+    assert last_processed(spark, name, "ts") is None
+    append_table(spark.createDataFrame([(1, "a")], "ts long, v string"), name)
+    append_table(spark.createDataFrame([(5, "b")], "ts long, v string"), name)
+    assert table_exists(spark, name)
+    assert read_table(spark, name).count() == 2
+    assert last_processed(spark, name, "ts") == 5
+    spark.sql(f"drop table {name}")
