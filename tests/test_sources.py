@@ -166,3 +166,13 @@ def test_catalog_table_append_and_mark(spark):
     assert read_table(spark, name).count() == 2
     assert last_processed(spark, name, "ts") == 5
     spark.sql(f"drop table {name}")
+
+
+def test_silver_of_empty_drop_has_full_schema(spark, tmp_path):
+    from tripkiln.plans.silver import silver
+
+    out = silver(read_raw_csv(spark, str(tmp_path / "nothing" / "*.csv")))
+    assert out.count() == 0
+    assert len(out.columns) == 49
+    assert {"passenger_first_name", "driver_last_name", "pickup_datetime", "ingest_datetime"} <= set(out.columns)
+    assert not {"passenger_fullname", "driver_fullname", "lpep_pickup_datetime"} & set(out.columns)
