@@ -82,3 +82,13 @@ def test_drop_rename_required(spark):
     assert out.columns == ["fare_amount", "keep"]
     out = rename_columns(df, {"keep": "kept", "absent": "x"})
     assert out.columns == ["fare_amount", "kept", "gone"]
+
+
+def test_scale_conf():
+    from tripkiln.session import scale_conf
+
+    small = scale_conf(10 << 20)
+    assert small["spark.sql.shuffle.partitions"] == "200"
+    big = scale_conf(100 << 40)  # 100 TB
+    assert big["spark.sql.shuffle.partitions"] == "100000"
+    assert int(big["spark.sql.adaptive.advisoryPartitionSizeInBytes"]) == 256 << 20

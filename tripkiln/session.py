@@ -52,3 +52,28 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return sc.getCheckpointDir() or path
     spark.conf.set("spark.checkpoint.dir", path)
     return path
+
+
+def scale_conf(input_bytes: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Session settings sized for an input of ``input_bytes`` on a cluster.
+
+    * scan splits of ``target_partition_bytes`` (fewer, larger tasks);
+    * initial shuffle partitions so that a shuffle as large as the input
+      lands near the target size per partition (the gold stage shuffles
+      whole rows), bounded to [200, 100000]; AQE then coalesces small ones;
+    * AQE skew-join split of partitions 5x the median and over the target;
+    * broadcast threshold 64 MB (hot-key and small count tables).
+    """
+    partitions = max(200, min(100_000, -(-int(input_bytes) // target_partition_bytes)))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.session.timeZone": "UTC",
+    }
