@@ -24,6 +24,7 @@ from tripkiln.plans.catalog import QUERIES  # noqa: E402
 from tripkiln.schema import CAST_SPEC, categorical_columns, numeric_columns  # noqa: E402
 from tripkiln.session import local_session  # noqa: E402
 from tripkiln.sources.fixtures import raw_trips  # noqa: E402
+from tripkiln.sources.staging import stage  # noqa: E402
 
 HEADLINE = [
     "cast_types",
@@ -45,6 +46,11 @@ def silver_impute(spark, sf):
     return impute(_typed(spark, sf))
 
 
+def silver_impute_staged(spark, sf):
+    """The production shape: the typed batch is staged once, then imputed."""
+    return impute(stage(_typed(spark, sf), "bench-typed"))
+
+
 def baseline_impute_per_column(spark, sf):
     """The original job's shape: a collect per column, then na.fill."""
     df = _typed(spark, sf)
@@ -84,6 +90,7 @@ def main():
         run(QUERIES[name], spark, warm if os.path.isdir(warm) else sf)
     times = {name: run(QUERIES[name], spark, sf, name) for name in HEADLINE}
     times["silver_impute"] = run(silver_impute, spark, sf, "silver_impute")
+    times["silver_impute_staged"] = run(silver_impute_staged, spark, sf, "silver_impute_staged")
     times["baseline_impute_per_column"] = run(baseline_impute_per_column, spark, sf, "baseline_impute_per_column")
     total = sum(v for k, v in times.items() if k in HEADLINE)
     sf_label = os.path.basename(sf.rstrip("/")).replace("sf", "")
@@ -99,6 +106,9 @@ def main():
                 "impute_speedup_vs_per_column": round(
                     times["baseline_impute_per_column"] / max(times["silver_impute"], 1e-9), 2
                 ),
+                "impute_staged_speedup_vs_per_column": round(
+                    times["baseline_impute_per_column"] / max(times["silver_impute_staged"], 1e-9), 2
+                ),
             }
         )
     )
