@@ -31,7 +31,6 @@ from tripkiln.plans.silver import silver
 from tripkiln.schema import CAST_SPEC
 from tripkiln.sources import tables
 from tripkiln.session import checkpoint_dir
-from tripkiln.sources.staging import stage
 from tripkiln.streaming.ingest import silver_stream
 from tripkiln.sources.fixtures import RAW_TRIPS_SQL, TRIP_KEYS, TRIPS_SQL, raw_trips, trips
 
