@@ -176,3 +176,22 @@ def test_silver_of_empty_drop_has_full_schema(spark, tmp_path):
     assert len(out.columns) == 49
     assert {"passenger_first_name", "driver_last_name", "pickup_datetime", "ingest_datetime"} <= set(out.columns)
     assert not {"passenger_fullname", "driver_fullname", "lpep_pickup_datetime"} & set(out.columns)
+
+
+def test_malformed_lines_are_kept_with_their_text(spark, tmp_path):
+    good = _raw_line(1)
+    bad = good + ",extra,fields"
+    _write_raw(str(tmp_path / "in" / "a.csv"), [good, bad])
+    df = read_raw_csv(spark, str(tmp_path / "in"), keep_corrupt=True)
+    got = {r["_corrupt_record"] is None: r for r in df.collect()}
+    assert df.count() == 2
+    assert got[True]["VendorID"] == "1"
+    assert got[False]["_corrupt_record"] == bad
+
+
+def test_silver_ignores_corrupt_record_column(spark, tmp_path):
+    from tripkiln.plans.silver import silver
+
+    _write_raw(str(tmp_path / "in" / "a.csv"), [_raw_line(1), _raw_line(2) + ",x"])
+    out = silver(read_raw_csv(spark, str(tmp_path / "in"), keep_corrupt=True))
+    assert "_corrupt_record" not in out.columns and out.count() == 2
