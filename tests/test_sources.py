@@ -65,6 +65,7 @@ def test_silver_and_gold_runs_are_incremental(spark, tmp_path):
     g1 = run_gold(spark, silver_path, gold_path)
     assert g1.count() == 5
     assert last_processed(spark, gold_path, "ingest_timestamp") == 1704067200
+    assert last_processed(spark, gold_path, "ingest_datetime") == dt.datetime(2024, 1, 1)
     # nothing new: a second gold run adds nothing
     assert run_gold(spark, silver_path, gold_path).count() == 0
 
@@ -80,6 +81,11 @@ def test_silver_and_gold_runs_are_incremental(spark, tmp_path):
     assert {r["driver_experience_level"] for r in g2.collect()} == {3}
     assert spark.read.parquet(gold_path).count() == 8
 
+    # a batch stamped in the same second as the last processed one is not lost
+    assert run_silver(spark, raw2, silver_path, batch_time=dt.datetime(2024, 1, 2, 0, 0, 0, 250000)).count() == 3
+    assert run_gold(spark, silver_path, gold_path).count() == 3
+    assert spark.read.parquet(gold_path).count() == 11
+
 
 def test_increment_marks(spark, tmp_path):
     df = spark.createDataFrame([(0,), (1,), (2,)], "ts long")
