@@ -92,3 +92,19 @@ def test_scale_conf():
     big = scale_conf(100 << 40)  # 100 TB
     assert big["spark.sql.shuffle.partitions"] == "100000"
     assert int(big["spark.sql.adaptive.advisoryPartitionSizeInBytes"]) == 256 << 20
+
+
+def test_row_id_and_compute_hook(spark):
+    from pyspark.sql import functions as F
+
+    from tripkiln.operators.cleanse import add_row_id, compute_columns
+
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (1, "a")], "k int, v string")
+    stable = rows(add_row_id(df, ["k", "v"]), "id")
+    assert stable[0] == stable[2] != stable[1]
+    assert rows(add_row_id(df, ["k", "v"]), "id") == stable  # same rows, same ids
+    unique = [r[0] for r in rows(add_row_id(df), "id")]
+    assert len(set(unique)) == 3
+    out = compute_columns(df, {"k2": F.col("k") * 2})
+    assert [r[0] for r in rows(out, "k2")] == [2, 4, 2]
+    assert compute_columns(df) is df
