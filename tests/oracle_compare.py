@@ -80,6 +80,8 @@ def main(argv):
     conf = {}
     if os.environ.get("TK_TZ"):
         conf["spark.sql.session.timeZone"] = os.environ["TK_TZ"]
+    if os.environ.get("TK_NOBROADCAST"):
+        conf["spark.sql.autoBroadcastJoinThreshold"] = "-1"
     if os.environ.get("TK_PARTITIONS"):
         conf["spark.sql.shuffle.partitions"] = os.environ["TK_PARTITIONS"]
     spark = local_session(**conf)
