@@ -22,15 +22,26 @@ def test_no_python_and_no_nested_loop(spark, name):
     assert not re.search(r"BroadcastNestedLoopJoin|CartesianProduct", plan)
 
 
-def test_gold_count_branches_read_one_column(spark):
+def test_gold_count_plans(spark):
     silver = stage(q_silver_clean(spark, SF_SMALL), "plan-silver")
-    df = gold(silver)
-    df.collect()
-    plan = _plan(df)
-    schemas = re.findall(r"ReadSchema: struct<([^>]*)>", plan)
-    assert "passenger_email:string" in schemas and "driver_email:string" in schemas
-    # the hot-key table is a bounded top-k, not a sort of all keys
-    assert "TakeOrderedAndProject" in plan or "limit" in plan.lower()
+    # small counts: broadcast after measuring, the wide rows are not shuffled
+    small = gold(silver)
+    small.collect()
+    plan = _plan(small)
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+    # forced shuffle path: rows shuffled on (key, salt), hot keys from a top-k
+    big = gold(silver, broadcast_bytes=0)
+    big.collect()
+    plan = _plan(big)
+    assert re.search(r"hashpartitioning\(passenger_email#\d+, __tk_salt", plan)
+    assert re.search(r"hashpartitioning\(driver_email#\d+, __tk_salt", plan)
+    assert "TakeOrderedAndProject" in plan
+    # the count branch of the lazy form reads a single column
+    from tripkiln.operators.aggregates import attach_group_count
+
+    lazy = attach_group_count(silver, "driver_email", "n", materialize=False)
+    schemas = re.findall(r"ReadSchema: struct<([^>]*)>", _plan(lazy))
+    assert "driver_email:string" in schemas
 
 
 def test_increment_filter_is_pushed(spark, tmp_path):
