@@ -201,3 +201,19 @@ def test_silver_ignores_corrupt_record_column(spark, tmp_path):
     _write_raw(str(tmp_path / "in" / "a.csv"), [_raw_line(1), _raw_line(2) + ",x"])
     out = silver(read_raw_csv(spark, str(tmp_path / "in"), keep_corrupt=True))
     assert "_corrupt_record" not in out.columns and out.count() == 2
+
+
+def test_gold_run_leaves_no_staged_tables(spark, tmp_path):
+    import os
+    from urllib.parse import urlparse
+
+    from tripkiln.session import checkpoint_dir
+
+    base = os.path.join(urlparse(checkpoint_dir(spark)).path, "tripkiln-stage")
+    raw, silver_path, gold_path = str(tmp_path / "raw"), str(tmp_path / "silver"), str(tmp_path / "gold")
+    _write_raw(raw + "/a.csv", [_raw_line(i) for i in range(4)])
+    run_silver(spark, raw, silver_path, batch_time=dt.datetime(2024, 3, 1))
+    before = set(os.listdir(base)) if os.path.isdir(base) else set()
+    assert run_gold(spark, silver_path, gold_path).count() == 4
+    after = set(os.listdir(base)) if os.path.isdir(base) else set()
+    assert after <= before

@@ -22,14 +22,31 @@ def _new_path(spark: SparkSession, label: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/tripkiln-stage/{label}-{uuid.uuid4().hex}"
 
 
+_CREATED: list[str] = []
+
+
 def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write ``df`` as parquet under ``spark.checkpoint.dir`` and read it back."""
     spark = df.sparkSession
     path = _new_path(spark, label)
     df.write.mode("error").parquet(path)
+    _CREATED.append(path)
     return spark.read.parquet(path)
 
 
+@contextmanager
+def cleanup_stages(spark: SparkSession) -> Iterator[None]:
+    """Remove every folder staged by :func:`stage` inside the block when it
+    ends (wrap the write of a job's final output)."""
+    start = len(_CREATED)
+    try:
+        yield
+    finally:
+        created, _CREATED[start:] = _CREATED[start:], []
+        for path in created:
+            remove(spark, path)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a staged folder (through the cluster's file system client).
 
