@@ -32,7 +32,7 @@ from tripkiln.schema import CAST_SPEC
 from tripkiln.session import checkpoint_dir
 from tripkiln.sources import tables
 from tripkiln.sources.fixtures import RAW_TRIPS_SQL, TRIP_KEYS, TRIPS_SQL, raw_trips, trips
-from tripkiln.streaming.ingest import silver_stream
+from tripkiln.streaming.ingest import gold_stream, silver_stream
 
 # fixed batch time of the registered silver runs (keeps results comparable)
 BATCH_TIME = _dt.datetime(2024, 1, 1, 0, 0, 0)
@@ -181,8 +181,9 @@ def q_split_name_exploded(spark, sf):
     return _keys_and(out, "passenger_fullname", "passenger_first_name", "passenger_last_name")
 
 
-def q_stream_ingest(spark, sf):
-    """Raw trips land as CSV files; an available-now stream ingests them."""
+def _stream_silver(spark, sf) -> str:
+    """Raw trips land as CSV files; an available-now stream ingests them.
+    Returns the folder holding ``silver`` (and room for ``gold``)."""
     base = f"{checkpoint_dir(spark).rstrip('/')}/tripkiln-stream/{uuid.uuid4().hex}"
     raw = raw_trips(spark, sf)
     raw.write.option("header", True).csv(f"{base}/landing")
@@ -193,7 +194,18 @@ def q_stream_ingest(spark, sf):
         spark, f"{base}/landing", f"{base}/silver", f"{base}/checkpoint",
         schema=file_schema, cast_missing="skip", batch_time=BATCH_TIME,
     )
-    return spark.read.parquet(f"{base}/silver")
+    return base
+
+
+def q_stream_ingest(spark, sf):
+    return spark.read.parquet(f"{_stream_silver(spark, sf)}/silver")
+
+
+def q_stream_gold(spark, sf):
+    """The silver stream's table feeds an available-now gold stream."""
+    base = _stream_silver(spark, sf)
+    gold_stream(spark, f"{base}/silver", f"{base}/gold", f"{base}/checkpoint-gold")
+    return spark.read.parquet(f"{base}/gold")
 
 
 def q_silver_clean(spark, sf):
@@ -237,6 +249,7 @@ QUERIES: dict[str, Query] = {
     "encode_ordinal": q_encode_ordinal,
     "split_name_exploded": q_split_name_exploded,
     "stream_ingest": q_stream_ingest,
+    "stream_gold": q_stream_gold,
     "silver_clean": q_silver_clean,
     "silver_script_preset": q_silver_script_preset,
     "gold_features": q_gold_features,
@@ -470,6 +483,7 @@ ORACLES: dict[str, str] = {
       from trips left join labels on store_and_fwd_flag = v""",
     "silver_clean": _with(*_SILVER_CTES) + "select * from silver",
     "stream_ingest": _with(*_SILVER_CTES) + "select *, 0 as batch_id from silver",
+    "stream_gold": _with(*_SILVER_CTES, ("gold", _GOLD_ROW)) + "select *, 0 as batch_id from gold",
     "silver_script_preset": _with(*_SILVER_CTES[:-1], ("silver", _SCRIPT_SILVER_FROM_FILLED))
     + "select * from silver",
     "gold_features": _with(*_SILVER_CTES) + _GOLD_ROW,
