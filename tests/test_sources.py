@@ -9,6 +9,7 @@ from tripkiln.sources.sinks import write_batch, write_csv, write_fanout
 from tripkiln.sources.tables import (
     epoch_partition_floor,
     last_processed,
+    last_value as last_value_of,
     newer_than,
     observe_rows,
     read_increment,
@@ -217,3 +218,19 @@ def test_gold_run_leaves_no_staged_tables(spark, tmp_path):
     assert run_gold(spark, silver_path, gold_path).count() == 4
     after = set(os.listdir(base)) if os.path.isdir(base) else set()
     assert after <= before
+
+
+def test_timestamp_mark_is_zone_free(spark):
+    df = spark.createDataFrame(
+        [(dt.datetime(1998, 12, 31, 20, 0),), (dt.datetime(1998, 12, 31, 23, 0),), (dt.datetime(1999, 1, 1, 1, 0),)],
+        "ts timestamp_ntz",
+    )
+    key = "spark.sql.session.timeZone"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "America/New_York")
+    try:
+        mark = last_value_of(df.where("ts < timestamp_ntz'1999-01-01 00:00:00'"), "ts")
+        assert mark == dt.datetime(1998, 12, 31, 23, 0)
+        assert rows(newer_than(df, "ts", mark), "ts") == [(dt.datetime(1999, 1, 1, 1, 0),)]
+    finally:
+        spark.conf.set(key, old)
