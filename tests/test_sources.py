@@ -183,6 +183,11 @@ def test_silver_of_empty_drop_has_full_schema(spark, tmp_path):
     assert len(out.columns) == 49
     assert {"passenger_first_name", "driver_last_name", "pickup_datetime", "ingest_datetime"} <= set(out.columns)
     assert not {"passenger_fullname", "driver_fullname", "lpep_pickup_datetime"} & set(out.columns)
+    from tripkiln.plans.gold import gold
+
+    g = gold(out)
+    assert len(g.columns) == 64 and g.count() == 0
+    assert {"passenger_loyalty", "driver_experience_level", "month", "route"} <= set(g.columns)
 
 
 def test_malformed_lines_are_kept_with_their_text(spark, tmp_path):
