@@ -7,11 +7,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripkiln.llm import sharding, url_filters
+from tripkiln.llm import mixing, packing, sharding, simhash, url_filters
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_url_filters": url_filters.query,
+    "op3_mixing": mixing.query,
+    "op5_packing": packing.query,
     "op6_sharding": sharding.query,
+    "op8_simhash": simhash.query,
 }
 
 ORACLES: dict[str, str] = {
