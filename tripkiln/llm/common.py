@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from tripkiln.sources.staging import remove, stage
 
-__all__ = ["fresh", "list_values", "ranges", "remove", "size_udf", "sorted_groups", "stage", "table"]
+__all__ = ["drop_stage", "fresh", "ranges", "size_udf", "sorted_groups", "stage", "table"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,11 +32,10 @@ def fresh(columns: Iterable[str], *wanted: str) -> list[str]:
     return out
 
 
-def list_values(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
-    """Flat values and offsets of a list column (no copies of the lists)."""
-    arr = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    offsets = arr.offsets.to_numpy(zero_copy_only=False)
-    return arr.values.to_numpy(zero_copy_only=False), offsets
+def drop_stage(df: DataFrame) -> None:
+    """Delete the folder of a staged DataFrame that nothing reads any more."""
+    for path in {p.rsplit("/", 1)[0] for p in df.inputFiles()}:
+        remove(df.sparkSession, path)
 
 
 def ranges(lengths: np.ndarray) -> np.ndarray:

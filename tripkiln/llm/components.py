@@ -11,18 +11,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripkiln.llm.common import remove, stage
+from tripkiln.llm.common import drop_stage, stage
 
 
 def _state(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("hi", "lo"))).first())
 
 
-def _drop(df: DataFrame) -> None:
-    for path in {p.rsplit("/", 1)[0] for p in df.inputFiles()}:
-        remove(df.sparkSession, path)
-
-
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """``(node, component)`` for every node of ``edges`` (long columns ``a``
     and ``b``); the component is its smallest node. Loops and repeated edges
@@ -49,7 +44,7 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         )
         after = stage(small, "edges")
         new = _state(after)
-        _drop(e)
+        drop_stage(e)
         e = after
         if new == state:
             break

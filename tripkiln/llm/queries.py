@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripkiln.llm import mixing, packing, sharding, simhash, url_filters
+from tripkiln.llm import mixing, packing, sharding, simhash, token_files, url_filters
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_url_filters": url_filters.query,
@@ -15,6 +15,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_packing": packing.query,
     "op6_sharding": sharding.query,
     "op8_simhash": simhash.query,
+    "op10_token_files": token_files.query,
 }
 
 ORACLES: dict[str, str] = {
