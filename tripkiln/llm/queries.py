@@ -7,13 +7,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripkiln.llm import mixing, packing, sharding, simhash, token_files, url_filters
+from tripkiln.llm import ann, line_dedup, mixing, packing, sharding, simhash, token_files, toxicity, url_filters
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": toxicity.query,
     "op2_url_filters": url_filters.query,
     "op3_mixing": mixing.query,
+    "op4_line_dedup": line_dedup.query,
     "op5_packing": packing.query,
     "op6_sharding": sharding.query,
+    "op7_ann": ann.query,
     "op8_simhash": simhash.query,
     "op10_token_files": token_files.query,
 }
