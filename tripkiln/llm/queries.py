@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripkiln.llm import ann, line_dedup, mixing, packing, sharding, simhash, token_files, toxicity, url_filters
+from tripkiln.llm import ann, covertree, line_dedup, mixing, packing, sharding, simhash, token_files, toxicity, url_filters
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": toxicity.query,
@@ -18,6 +18,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_sharding": sharding.query,
     "op7_ann": ann.query,
     "op8_simhash": simhash.query,
+    "op9_cover_tree": covertree.query,
     "op10_token_files": token_files.query,
 }
 
