@@ -1,0 +1,51 @@
+import re
+
+from tripkiln.llm.url_filters import RULES, UrlRule, judge_urls
+
+URLS = [
+    "http://a.example.net/en/1", "http://EXAMPLE.net/en", "https://net/x?y", "http://net", "http://xnet/a",
+    "https://Sub.Example.COM/de/2#t", "https://example.com/DE/", "http://a.org/fr/", "http://a.org/fr", "no scheme", "",
+    None, "http://", "http:///en/", "x://example.net:80/en/", "http://a.example.net/en/1", "http://ä.net/ü/\nb", "ftp://net?net/",
+]
+
+
+def _judge(url, rules, default="allow"):
+    rest = url.split("://", 1)[1] if url and "://" in url else ""
+    host = re.match(r"[^/?#]*", rest)[0]
+    path = re.match(r"[^?#]*", rest[len(host):])[0]
+    host = "".join(c.lower() if c.isascii() else c for c in host)
+    fits = []
+    for r in rules:
+        rhost, slash, rpath = r.rule.partition("/")
+        pattern = ".*".join(map(re.escape, (slash + rpath).split("*")))
+        if (host == rhost or host.endswith("." + rhost)) and re.match(pattern, path, re.S):
+            fits.append(r)
+    best = min(fits, key=lambda r: (-len(r.rule), r.rule), default=None)
+    return host, path, best and best.rule, best.verdict if best else default
+
+
+def test_rules_against_brute_force(spark):
+    rules = [*RULES, UrlRule("example.net/*/1", "block"), UrlRule("example.net/e", "block"), UrlRule("a.org/fr", "block")]
+    pages = spark.createDataFrame([(i, u, "x") for i, u in enumerate(URLS)], "page_id long, url string, rule string")
+    for chosen in (RULES, rules, []):
+        got = {r["page_id"]: tuple(r)[2:] for r in judge_urls(pages, chosen).collect()}
+        assert got == {i: _judge(u, chosen) for i, u in enumerate(URLS)}
+
+
+def test_repeated_rows_null_ids_and_no_rows(spark):
+    pages = spark.createDataFrame([(None, "http://a.net/")] * 3, "page_id long, url string")
+    assert [tuple(r) for r in judge_urls(pages, RULES).collect()] == [(None, "http://a.net/", "a.net", "/", "net/", "block")] * 3
+    assert judge_urls(pages.limit(0), RULES).count() == 0
+
+
+def test_literal_tokens_stand_complete():
+    assert UrlRule("example.net/en/", "").tokens == ["en", "example", "net"]
+    assert UrlRule("example.net/e", "").tokens == ["example", "net"]
+    assert UrlRule("net/a*b/c/", "").tokens == ["c", "net"]
+    assert UrlRule("net/*/", "").tokens == ["net"]
+
+
+def test_plan_is_native(spark):
+    pages = spark.createDataFrame([(1, "http://a.net/")], "page_id long, url string")
+    plan = judge_urls(pages, RULES)._jdf.queryExecution().optimizedPlan().toString()
+    assert not re.search("Python|Pandas|Arrow", plan)
