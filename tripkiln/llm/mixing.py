@@ -13,6 +13,7 @@ from __future__ import annotations
 from collections import deque
 from collections.abc import Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,6 +27,9 @@ MAX_REPEATS = 2
 SEED = 17
 #: Tables of sources and patterns up to this size are broadcast.
 BROADCAST_ROWS = 20_000
+#: So few documents are chosen by exact sums; more come near their need by exchanges.
+EXACT_ITEMS = 64
+EXACT_SUM = 2_000_000
 
 
 def water_fill(weights: Sequence[float], sizes: Sequence[int], total: float, most: float) -> list[float]:
@@ -100,20 +104,65 @@ def min_cost_flow(patterns: dict[tuple[int, ...], int], quotas: dict[int, int],
     return flow
 
 
-def _fill(size: str, h: str, need: str, copies: str):
-    """Seeded greedy fill of what a boundary bucket still owes its pattern."""
+def exact_fill(sizes: np.ndarray, need: int) -> np.ndarray:
+    """The subset whose sum is nearest to ``need`` (of equals the smaller
+    sum), by the set of reachable sums as bits."""
+    items = [int(n) for n in sizes]
+    reach = [1]
+    for n in items:
+        reach.append(reach[-1] | reach[-1] << n)
+    below = (reach[-1] & ((1 << (need + 1)) - 1)).bit_length() - 1
+    above = reach[-1] >> need
+    above = need + (above & -above).bit_length() - 1 if above else None
+    at = above if above is not None and above - need < need - below else below
+    taken = np.zeros(len(items), bool)
+    for i in range(len(items) - 1, -1, -1):
+        if not reach[i] >> at & 1:
+            taken[i], at = True, at - items[i]
+    return taken
+
+
+def fill_to(sizes: np.ndarray, need: int, swaps: int = 20) -> np.ndarray:
+    """Which items to take so that their sizes come near ``need``: in order
+    while they fit, then single changes and exchanges that come nearer."""
+    if len(sizes) <= EXACT_ITEMS and sizes.sum() <= EXACT_SUM:
+        return exact_fill(sizes, need)
+    taken = np.zeros(len(sizes), bool)
+    left = need
+    for i, n in enumerate(sizes.tolist()):
+        if 0 < n <= left:
+            taken[i], left = True, left - n
+    for _ in range(swaps):
+        out, free = np.flatnonzero(taken), np.flatnonzero(~taken & (sizes > 0))
+        if not left or not len(free):
+            break
+        free = free[np.argsort(sizes[free], kind="stable")]
+        give = np.append(out, -1)  # -1: nothing goes
+        wanted = left + np.append(sizes[out], 0)
+        at = np.searchsorted(sizes[free], wanted)
+        best = (abs(left), -1, -1)
+        for near in (at - 1, at):
+            ok = (near >= 0) & (near < len(free))
+            miss = np.abs(wanted[ok] - sizes[free[near[ok]]])
+            if len(miss) and miss.min() < best[0]:
+                k = int(miss.argmin())
+                best = (int(miss[k]), int(give[ok][k]), int(free[near[ok][k]]))
+        if best[2] < 0:
+            break
+        taken[best[2]] = True
+        left -= int(sizes[best[2]])
+        if best[1] >= 0:
+            taken[best[1]] = False
+            left += int(sizes[best[1]])
+    return taken
+
+
+def _fill(size: str, h: str, owed: str, copies: str):
+    """Seeded fill of what a boundary bucket still owes its pattern."""
 
     def fill(pdf: pd.DataFrame) -> pd.DataFrame:
-        order = pdf.sort_values([h, size], kind="stable").index
-        left = int(pdf[need].iloc[0])
-        extra = pd.Series(0, index=pdf.index)
-        for i in order:
-            if 0 < pdf.at[i, size] <= left:
-                extra[i], left = 1, left - int(pdf.at[i, size])
-        over = [(int(pdf.at[i, size]) - left, n, i) for n, i in enumerate(order) if not extra[i] and pdf.at[i, size]]
-        if left and over and min(over)[0] < left:  # one more comes nearer than none
-            extra[min(over)[2]] = 1
-        return pdf.assign(**{copies: pdf[copies] + extra})
+        pdf = pdf.sort_values([h, size], kind="stable")
+        return pdf.assign(**{copies: pdf[copies] + fill_to(pdf[size].to_numpy(), int(pdf[owed].iloc[0])).astype(int)})
 
     return fill
 
