@@ -1,0 +1,67 @@
+"""Each stage against the operator's brute force, on its own input."""
+
+from collections import Counter, defaultdict
+
+import corpus_pipeline
+from tests.llm.conftest import SF
+from tests.llm.test_line_dedup import _brute as brute_lines
+from tests.llm.test_simhash import brute_components, brute_fingerprint
+from tripkiln.llm.common import stage
+
+
+def test_stages(spark, docs):
+    inputs = {}
+    df = docs
+    for name, step in corpus_pipeline.STAGES:
+        inputs[name] = df
+        df = stage(step(spark, df, SF), "test")
+        if name != "best_fit_packing":
+            assert df.columns == docs.columns
+    rows = {n: d.collect() for n, d in inputs.items()}
+    out = df.collect()
+
+    labels = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
+    kept = {r["doc_id"] for r in rows["line_dedup"]}
+    clean = [i for i, y in labels.items() if y == 0 and i in {r["doc_id"] for r in rows["toxicity"]}]
+    assert sum(i in kept for i in clean) >= 0.98 * len(clean) and len(kept) < len(rows["toxicity"])
+
+    texts = [(r["doc_id"], r["text"]) for r in rows["line_dedup"]]
+    want = brute_lines(texts)
+    want = {i: want[i] for i, t in texts if want[i] == t or (want[i] or "").strip()}
+    assert {r["doc_id"]: r["text"] for r in rows["simhash_near_dedup"]} == want
+    assert all(r["n_chars"] == len(r["text"]) for r in rows["simhash_near_dedup"] if r["text"])
+
+    texts = sorted((r["doc_id"], r["text"]) for r in rows["simhash_near_dedup"])
+    roots = brute_components([brute_fingerprint(t) for _, t in texts], 4)
+    assert sorted(r["doc_id"] for r in rows["mixing"]) == sorted({texts[c][0] for c in roots})
+
+    taken = Counter(r["doc_id"] for r in rows["best_fit_packing"])
+    assert set(taken.values()) <= {1, 2} and set(taken) <= {r["doc_id"] for r in rows["mixing"]}
+    words = {r["doc_id"]: len(r["text"].encode().split()) for r in rows["mixing"]}
+    assert 1.3 < sum(words[i] * n for i, n in taken.items()) / sum(words.values()) < 1.7
+
+    got = defaultdict(int)
+    for r in out:
+        got[r["doc_id"]] += r["n_tokens"]
+    assert got == {i: words[i] * n for i, n in taken.items()}
+
+
+def test_run_is_registered(spark):
+    import __spark_entry__ as entry
+
+    assert entry.queries()["pipeline"] is corpus_pipeline.run
+    assert corpus_pipeline.run(spark, SF).count() > 0
+    for n in range(1, 11):
+        assert sum(q.startswith(f"op{n}_") for q in entry.queries()) == 1
+
+
+def test_stages_on_edge_rows(spark, edge_docs, no_docs):
+    from pyspark.sql import functions as F
+
+    for start in (edge_docs, no_docs):
+        df = start.withColumns({"lang": F.lit("en"), "n_chars": F.length("text").cast("long")})
+        columns = df.columns
+        for name, step in corpus_pipeline.STAGES:
+            df = stage(step(spark, df, SF), "test")
+            assert name == "best_fit_packing" or df.columns == columns
+        assert (df.count() > 0) == (start is edge_docs)
