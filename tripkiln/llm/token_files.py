@@ -18,6 +18,8 @@ import os
 import uuid
 import zlib
 from collections.abc import Iterator
+from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -35,8 +37,8 @@ BLOCK_IDS = 256
 SEGMENT_IDS = 1 << 17
 #: Longest code; a decoding table has two to this power entries.
 MAX_CODE_BITS = 18
-#: Distinct words whose ids one task remembers before it starts anew.
-WORD_CACHE = 300_000
+#: Distinct words whose ids a worker remembers before it starts anew.
+WORD_CACHE = 1_000_000
 END_ID = 2
 TOKENIZER = "word_bpe_49k.json"
 
@@ -142,15 +144,40 @@ def decode_ids(data: bytes, checkpoints: np.ndarray, n_ids: int, decoder: tuple[
 
 # -- tokens ----------------------------------------------------------------
 
+_MARKS = b".,!?;:"
+_LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
+
+
+def word_parts(word: bytes) -> int:
+    """Pre-tokens of a plain word: 1 for Latin letters, 2 with punctuation
+    marks behind them, 0 for all other words."""
+    body = word.rstrip(_MARKS)
+    if not body.isalpha():  # ASCII letters?
+        text = body.decode("utf-8", "replace").lower()
+        if not text.isalpha() or max(text) > "\u024f":
+            return 0
+    return 1 if len(body) == len(word) else 2
+
+
 class WordEncoder:
     """A tokenizer whose tokens never cross ASCII white space, by words: each
-    distinct word goes through the library once."""
+    distinct word goes through the library once.
+
+    Plain words are sent to it joined by spaces, many at a time: each of
+    their pre-tokens gives one id that ends a word, so the ids fall apart into
+    words again. All other words are encoded one by one, and so are all if
+    the tokenizer marks no word ends."""
 
     def __init__(self, path: str, cache: int = WORD_CACHE):
         from tokenizers import Tokenizer
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has its core
         self.tokenizer, self.cache = Tokenizer.from_file(path), cache
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        if suffix:
+            self.ends_word[[i for t, i in vocabulary.items() if t.endswith(suffix)]] = True
         self._reset()
 
     def _reset(self) -> None:
@@ -158,23 +185,63 @@ class WordEncoder:
         self.lengths, self.flat = np.empty(0, np.int64), np.empty(0, np.uint32)
         self.starts = np.empty(0, np.int64)
 
+    def _ids(self, texts: list[bytes]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast([t.decode("utf-8", "replace") for t in texts], add_special_tokens=False)]
+
+    def _learn(self, words: list[bytes], parts: list[int]) -> None:
+        """Ids of ``words``; ``parts``: see ``word_parts``."""
+        if all(parts):
+            ids = np.array(self._ids([b" ".join(words)])[0], np.uint32)
+            ends = np.flatnonzero(self.ends_word[ids]) + 1
+            last = np.cumsum(parts) - 1
+            if len(ends) != last[-1] + 1 or ends[-1] != len(ids):
+                return self._learn(words, [0] * len(words))
+            lengths = np.diff(ends[last], prepend=0)
+        else:
+            got = self._ids(words)
+            lengths = np.fromiter(map(len, got), np.int64, len(got))
+            ids = np.fromiter(chain.from_iterable(got), np.uint32, int(lengths.sum()))
+        return self._add(words, lengths, ids)
+
+    def _learn_all(self, new: list[bytes]) -> None:
+        kinds = list(map(word_parts, new))
+        plain = [w for w, n in zip(new, kinds) if n == 1]
+        marked = [(w, w.rstrip(_MARKS)) for w, n in zip(new, kinds) if n == 2]
+        number = self.number
+        plain += list({body for _, body in marked if body not in number}.difference(plain))
+        marks = list({w[len(body) :] for w, body in marked if w[len(body) :] not in number})
+        others = [w for w, n in zip(new, kinds) if not n and w not in marks]
+        if plain:
+            self._learn(plain, [1] * len(plain))
+        if marks or others:
+            self._learn(marks + others, [0])
+        if marked:  # ids of the word, then of the marks
+            a = np.fromiter((number[body] for _, body in marked), np.int64, len(marked))
+            b = np.fromiter((number[w[len(body) :]] for w, body in marked), np.int64, len(marked))
+            both = np.stack([a, b], axis=1).ravel()
+            n = self.lengths[both]
+            ids = self.flat[np.repeat(self.starts[both], n) + ranges(n)]
+            self._add([w for w, _ in marked], n.reshape(-1, 2).sum(axis=1), ids)
+
+    def _add(self, words: list[bytes], lengths: np.ndarray, ids: np.ndarray) -> None:
+        first = len(self.number)
+        self.number.update(zip(words, range(first, first + len(words))))
+        self.lengths, self.flat = np.concatenate([self.lengths, lengths]), np.concatenate([self.flat, ids])
+        self.starts = np.cumsum(self.lengths) - self.lengths
+
     def encode(self, texts: list[bytes], end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each with ``end_id`` behind it, and their counts."""
-        split = [t.split() for t in texts]
         if len(self.number) > self.cache:
             self._reset()
-        number = self.number
-        new = list({w for words in split for w in words if w not in number})
-        if new:
-            got = [e.ids for e in self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in new], add_special_tokens=False)]
-            lengths = np.fromiter(map(len, got), np.int64, len(got))
-            flat = np.fromiter((i for ids in got for i in ids), np.uint32, int(lengths.sum()))
-            first = len(number)
-            number.update(zip(new, range(first, first + len(new))))
-            self.lengths, self.flat = np.concatenate([self.lengths, lengths]), np.concatenate([self.flat, flat])
-            self.starts = np.cumsum(self.lengths) - self.lengths
+        # A-Z may be lowered first, unless special tokens or combining marks might see it
+        split = [(t if b"<|" in t or b"\xcc" in t or b"\xcd" in t else t.translate(_LOWER)).split() for t in texts]
         words = np.fromiter(map(len, split), np.int64, len(split))
-        which = np.fromiter((number[w] for ws in split for w in ws), np.int64, int(words.sum()))
+        flat = list(chain.from_iterable(split))
+        try:
+            which = np.fromiter(map(self.number.__getitem__, flat), np.int64, len(flat))
+        except KeyError:
+            self._learn_all(list({w for w in flat if w not in self.number}))
+            which = np.fromiter(map(self.number.__getitem__, flat), np.int64, len(flat))
         n = self.lengths[which]
         upto = np.concatenate([[0], np.cumsum(n)])
         counts = np.diff(upto[np.concatenate([[0], np.cumsum(words)])]) + 1
@@ -185,12 +252,18 @@ class WordEncoder:
         return ids, counts
 
 
+@cache
+def _encoder(path: str) -> WordEncoder:
+    """One for all tasks of a Python worker."""
+    return WordEncoder(path)
+
+
 _SEGMENT = "part int, seg int, doc_ids array<long>, lengths array<int>, ids binary"
 
 
 def _segments(path: str, end_id: int):
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part, seg = WordEncoder(path), TaskContext.get().partitionId(), 0
+        encoder, part, seg = _encoder(path), TaskContext.get().partitionId(), 0
         docs: list = []
         counts: list[np.ndarray] = []
         ids: list[np.ndarray] = []
@@ -207,8 +280,8 @@ def _segments(path: str, end_id: int):
             )
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                some = batch.slice(at, 256)
+            for at in range(0, batch.num_rows, 512):
+                some = batch.slice(at, 512)
                 found, n = encoder.encode([t or b"" for t in some.column(1).to_pylist()], end_id)
                 docs += some.column(0).to_pylist()
                 counts.append(n)
