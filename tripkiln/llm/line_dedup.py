@@ -147,6 +147,7 @@ def drop_repeated_chunks(docs: DataFrame, text: str = "text", id_col: str = "doc
         "removed",
     )
     r = removed.select(F.col("id").alias("id_"), F.col("rk").alias("rk_"), F.col("idx").alias(dropped))
+    r = r.hint("merge")  # grows with the documents: the same join at every size
     marked = docs.select(*keep, F.xxhash64(F.col(text)).alias(rk))
     joined = marked.join(r, marked[id_col].eqNullSafe(r["id_"]) & (marked[rk] == r["rk_"]), "left")
     rest = _without(F.when(F.col(dropped).isNotNull(), F.col(text).cast("binary")), F.col(dropped))  # others stay in Spark
