@@ -90,7 +90,7 @@ def test_scale_conf():
     small = scale_conf(10 << 20)
     assert small["spark.sql.shuffle.partitions"] == "200"
     big = scale_conf(100 << 40)  # 100 TB
-    assert big["spark.sql.shuffle.partitions"] == "100000"
+    assert big["spark.sql.shuffle.partitions"] == "409600"  # 256 MB a partition, no ceiling
     assert int(big["spark.sql.adaptive.advisoryPartitionSizeInBytes"]) == 256 << 20
 
 

@@ -15,33 +15,51 @@ def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(E.QUERIES))
 def test_no_python_and_no_nested_loop(spark, name):
-    plan = _plan(E.queries()[name](spark, SF_SMALL))
+    plan = _plan(E.QUERIES[name](spark, SF_SMALL))
     assert not re.search(r"BatchEvalPython|ArrowEvalPython|PythonUDF|MapInPandas", plan)
     assert not re.search(r"BroadcastNestedLoopJoin|CartesianProduct", plan)
 
 
 def test_gold_count_plans(spark):
     silver = stage(q_silver_clean(spark, SF_SMALL), "plan-silver")
-    # small counts: broadcast after measuring, the wide rows are not shuffled
+    # small counts are broadcast: the wide rows are not shuffled
     small = gold(silver)
     small.collect()
-    plan = _plan(small)
-    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
-    # forced shuffle path: rows shuffled on (key, salt), hot keys from a top-k
-    big = gold(silver, broadcast_bytes=0)
-    big.collect()
-    plan = _plan(big)
-    assert re.search(r"hashpartitioning\(passenger_email#\d+, __tk_salt", plan)
-    assert re.search(r"hashpartitioning\(driver_email#\d+, __tk_salt", plan)
-    assert "TakeOrderedAndProject" in plan
-    # the count branch of the lazy form reads a single column
-    from tripkiln.operators.aggregates import attach_group_count
-
-    lazy = attach_group_count(silver, "driver_email", "n", materialize=False)
-    schemas = re.findall(r"ReadSchema: struct<([^>]*)>", _plan(lazy))
-    assert "driver_email:string" in schemas
+    assert "SortMergeJoin" not in _plan(small)
+    # forced shuffle path: rows shuffled on (key, salt)
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        big = gold(silver)
+        plan = _plan(big)
+        big.collect()
+        final = _plan(big)
+    finally:
+        spark.conf.set(key, before)
+    assert len(set(re.findall(r"hashpartitioning\(__tk_key#\d+, __tk_salt#\d+L", plan))) >= 2
+    # one pass counts both keys: of the silver columns it reads these two only
+    schemas = re.findall(r"ReadSchema: struct<([^>]*)>", plan)
+    assert {tuple(sorted(c.split(":")[0] for c in s.split(","))) for s in schemas if len(s.split(",")) < 10} == {("driver_email", "passenger_email")}
+    # its shuffle is reused by the hot keys, the lookups and the totals of both
+    assert "ReusedExchange" in final
+
+
+def test_one_mode_statistic_in_the_whole_gold_query(spark):
+    from tripkiln.plans.catalog import q_gold_features
+
+    df = q_gold_features(spark, SF_SMALL)
+    df.collect()
+    text = df._jdf.queryExecution().executedPlan().treeString()
+    # gold reads the kept silver rows, in whose plan the text columns are unpivoted once
+    assert text.count("InMemoryTableScan") >= 2
+    spark.catalog.clearCache()
+    silver = q_silver_clean(spark, SF_SMALL)
+    plan = silver._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Expand [") == 1
+    assert "passenger_credit_card" not in "".join(re.findall(r"Expand \[[^\n]*", plan))
 
 
 def test_increment_filter_is_pushed(spark, tmp_path):

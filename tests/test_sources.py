@@ -1,9 +1,13 @@
 import datetime as dt
 import os
 
+import pytest
+from pyspark.errors import AnalysisException
+
 from tests.conftest import rows
 from tripkiln.plans.runs import run_gold, run_silver
 from tripkiln.schema import RAW_COLUMNS
+from tripkiln.sources import ledger
 from tripkiln.sources.files import read_raw_csv
 from tripkiln.sources.sinks import write_batch, write_csv, write_fanout
 from tripkiln.sources.tables import (
@@ -42,8 +46,13 @@ def test_read_raw_csv_and_empty_input(spark, tmp_path):
     df = read_raw_csv(spark, str(tmp_path / "in"))
     assert df.count() == 2 and df.columns == list(RAW_COLUMNS)
     assert {f.dataType.simpleString() for f in df.schema.fields} == {"string"}
-    empty = read_raw_csv(spark, str(tmp_path / "missing" / "*.csv"))
+    (tmp_path / "empty").mkdir()
+    empty = read_raw_csv(spark, str(tmp_path / "empty"))
     assert empty.count() == 0 and empty.columns == list(RAW_COLUMNS)
+    # a path that is not there is an error, alone or beside others
+    for path in (str(tmp_path / "mistyped"), str(tmp_path / "missing" / "*.csv"), [str(tmp_path / "in"), str(tmp_path / "no")]):
+        with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+            read_raw_csv(spark, path)
 
 
 def test_silver_and_gold_runs_are_incremental(spark, tmp_path):
@@ -52,7 +61,7 @@ def test_silver_and_gold_runs_are_incremental(spark, tmp_path):
     _write_raw(raw2 + "/b.csv", [_raw_line(i) for i in range(3)])
     silver_path, gold_path = str(tmp_path / "silver"), str(tmp_path / "gold")
 
-    s1 = run_silver(spark, raw1, silver_path, batch_time=dt.datetime(2024, 1, 1, 0, 0, 0))
+    s1 = run_silver(spark, raw1, silver_path, batch_time=dt.datetime(2024, 1, 1, 0, 0, 0)).rows
     assert s1.count() == 5
     r = {row["passenger_first_name"]: row for row in s1.collect()}
     assert r["Cher"]["passenger_last_name"] is None
@@ -64,11 +73,12 @@ def test_silver_and_gold_runs_are_incremental(spark, tmp_path):
     assert "passenger_fullname" not in s1.columns and "pickup_datetime" in s1.columns
 
     g1 = run_gold(spark, silver_path, gold_path)
-    assert g1.count() == 5
+    assert g1.rows.count() == 5 and not g1.empty
     assert last_processed(spark, gold_path, "ingest_timestamp") == 1704067200
     assert last_processed(spark, gold_path, "ingest_datetime") == dt.datetime(2024, 1, 1)
     # nothing new: a second gold run adds nothing
-    assert run_gold(spark, silver_path, gold_path).count() == 0
+    again = run_gold(spark, silver_path, gold_path)
+    assert again.empty and again.rows.count() == 0 and again.rows.columns == g1.rows.columns
 
     run_silver(spark, raw2, silver_path, batch_time=dt.datetime(2024, 1, 2, 0, 0, 0))
     # the increment read prunes the older ingest_date partition
@@ -76,16 +86,118 @@ def test_silver_and_gold_runs_are_incremental(spark, tmp_path):
     plan = inc._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(ingest_date" in plan and "2024-01-01" in plan
     assert inc.count() == 3
-    g2 = run_gold(spark, silver_path, gold_path)
+    g2 = run_gold(spark, silver_path, gold_path).rows
     assert g2.count() == 3
     # counts cover the increment only
     assert {r["driver_experience_level"] for r in g2.collect()} == {3}
     assert spark.read.parquet(gold_path).count() == 8
 
-    # a batch stamped in the same second as the last processed one is not lost
-    assert run_silver(spark, raw2, silver_path, batch_time=dt.datetime(2024, 1, 2, 0, 0, 0, 250000)).count() == 3
-    assert run_gold(spark, silver_path, gold_path).count() == 3
-    assert spark.read.parquet(gold_path).count() == 11
+
+def test_a_drop_is_ingested_once(spark, tmp_path):
+    raw, silver_path = str(tmp_path / "raw"), str(tmp_path / "silver")
+    _write_raw(raw + "/a.csv", [_raw_line(i) for i in range(3)])
+    assert run_silver(spark, raw, silver_path).rows.count() == 3
+    again = run_silver(spark, raw, silver_path)
+    assert again.empty and again.rows.count() == 0
+    _write_raw(raw + "/b.csv", [_raw_line(9)])
+    assert run_silver(spark, raw, silver_path).rows.count() == 1
+    assert ledger.read_committed(spark, silver_path).count() == 4
+    (tmp_path / "none").mkdir()
+    nothing = run_silver(spark, str(tmp_path / "none"), str(tmp_path / "new"))
+    assert nothing.empty and len(nothing.rows.columns) == 49
+    with pytest.raises(AnalysisException):
+        run_silver(spark, str(tmp_path / "mistyped"), silver_path)
+
+
+def test_a_batch_committed_late_is_processed(spark, tmp_path):
+    silver_path, gold_path = str(tmp_path / "silver"), str(tmp_path / "gold")
+    for name, hour, n in (("x", 12, 5), ("y", 3, 3)):
+        _write_raw(f"{tmp_path}/{name}/{name}.csv", [_raw_line(i) for i in range(n)])
+        run_silver(spark, f"{tmp_path}/{name}", silver_path, batch_time=dt.datetime(2024, 1, 1, hour))
+        assert run_gold(spark, silver_path, gold_path).rows.count() == n
+    assert ledger.read_committed(spark, gold_path).count() == 8
+
+
+def test_uncommitted_and_retried_batches(spark, tmp_path, monkeypatch):
+    raw, silver_path, gold_path = str(tmp_path / "raw"), str(tmp_path / "silver"), str(tmp_path / "gold")
+    _write_raw(raw + "/a.csv", [_raw_line(i) for i in range(3)])
+
+    def fail(*a, **k):
+        raise OSError("lost")
+
+    real = ledger.commit
+    monkeypatch.setattr(ledger, "commit", fail)
+    with pytest.raises(OSError):
+        run_silver(spark, raw, silver_path, batch_time=dt.datetime(2024, 1, 1, 1))
+    assert ledger.read_committed(spark, silver_path).count() == 0  # rows without a commit are not seen
+    monkeypatch.setattr(ledger, "commit", real)
+    assert run_gold(spark, silver_path, gold_path).empty
+    assert run_silver(spark, raw, silver_path, batch_time=dt.datetime(2024, 1, 1, 2)).rows.count() == 3
+    assert ledger.read_committed(spark, silver_path).count() == 3
+    monkeypatch.setattr(ledger, "commit", fail)
+    with pytest.raises(OSError):
+        run_gold(spark, silver_path, gold_path)
+    monkeypatch.setattr(ledger, "commit", real)
+    assert run_gold(spark, silver_path, gold_path).rows.count() == 3
+    assert spark.read.parquet(gold_path).count() == 3  # the retry replaced its own rows
+
+
+def test_runs_on_catalog_tables(spark, tmp_path):
+    for name, n in (("x", 2), ("y", 3)):
+        _write_raw(f"{tmp_path}/{name}/{name}.csv", [_raw_line(i) for i in range(n)])
+        run_silver(spark, f"{tmp_path}/{name}", "tk_run_silver")
+        assert run_gold(spark, "tk_run_silver", "tk_run_gold").rows.count() == n
+        assert run_gold(spark, "tk_run_silver", "tk_run_gold").empty
+    assert spark.read.table("tk_run_silver").count() == spark.read.table("tk_run_gold").count() == 5
+    for t in ("tk_run_silver", "tk_run_gold", "tk_run_silver__batches", "tk_run_gold__batches"):
+        spark.sql(f"drop table {t}")
+
+
+def test_nothing_personal_stays_behind(spark, tmp_path):
+    import __spark_entry__ as E
+    from tests.conftest import SF_SMALL
+    from urllib.parse import urlparse
+
+    from tripkiln.session import checkpoint_dir
+
+    base = urlparse(checkpoint_dir(spark)).path
+    before = set(os.listdir(base)) if os.path.isdir(base) else set()
+    staged_before = set(os.listdir(f"{base}/tripkiln-stage")) if os.path.isdir(f"{base}/tripkiln-stage") else set()
+    for name in ("silver_clean", "silver_script_preset", "gold_features"):
+        assert E.QUERIES[name](spark, SF_SMALL).count() > 0
+        assert set(os.listdir(base)) <= before | {"tripkiln-stage"}
+    spark.catalog.clearCache()
+    raw, silver_path = str(tmp_path / "raw"), str(tmp_path / "silver")
+    _write_raw(raw + "/a.csv", [_raw_line(i) for i in range(4)])
+    seen = []
+    import tripkiln.plans.runs as runs
+
+    real = runs.write_silver
+
+    def look(rows, *args):
+        seen.append([tuple(r) for r in rows.select("passenger_credit_card", "driver_credit_card").distinct().collect()])
+        real(rows, *args)
+
+    runs.write_silver = look
+    try:
+        run_silver(spark, raw, silver_path)
+    finally:
+        runs.write_silver = real
+    assert seen == [[("*****", "*****")]]  # the staged copy never held a card number
+    now = set(os.listdir(f"{base}/tripkiln-stage")) if os.path.isdir(f"{base}/tripkiln-stage") else set()
+    assert now <= staged_before
+
+
+def test_cleanup_touches_own_folders_only(spark):
+    from tripkiln.sources.staging import remove, stage, staged
+
+    with staged(spark.range(3), "outer") as outer:
+        other = stage(spark.range(5), "other")
+        with staged(spark.range(4), "inner") as inner:
+            assert inner.count() == 4
+        assert outer.count() == 3 and other.count() == 5
+    assert other.count() == 5
+    remove(spark, other.inputFiles()[0].rsplit("/", 1)[0])
 
 
 def test_increment_marks(spark, tmp_path):
@@ -121,9 +233,8 @@ def test_fanout_and_csv(spark, tmp_path):
     sinks = [("parquet", str(tmp_path / "p"), "append"), ("csv", str(tmp_path / "c"), "overwrite")]
     group = "fanout"
     spark.sparkContext.setJobGroup(group, group)
-    written = write_fanout(df.selectExpr("x", "upper(y) as y"), sinks)
+    write_fanout(df.selectExpr("x", "upper(y) as y"), sinks)
     write_fanout(df.selectExpr("x", "upper(y) as y"), sinks[:1])
-    assert written.count() == 1
     assert spark.read.parquet(str(tmp_path / "p")).count() == 2
     assert spark.read.option("header", True).csv(str(tmp_path / "c")).collect()[0]["y"] == "A"
     write_csv(df, str(tmp_path / "h"), header=True)
@@ -178,7 +289,8 @@ def test_catalog_table_append_and_mark(spark):
 def test_silver_of_empty_drop_has_full_schema(spark, tmp_path):
     from tripkiln.plans.silver import silver
 
-    out = silver(read_raw_csv(spark, str(tmp_path / "nothing" / "*.csv")))
+    (tmp_path / "nothing").mkdir()
+    out = silver(read_raw_csv(spark, str(tmp_path / "nothing")))
     assert out.count() == 0
     assert len(out.columns) == 49
     assert {"passenger_first_name", "driver_last_name", "pickup_datetime", "ingest_datetime"} <= set(out.columns)
@@ -220,7 +332,7 @@ def test_gold_run_leaves_no_staged_tables(spark, tmp_path):
     _write_raw(raw + "/a.csv", [_raw_line(i) for i in range(4)])
     run_silver(spark, raw, silver_path, batch_time=dt.datetime(2024, 3, 1))
     before = set(os.listdir(base)) if os.path.isdir(base) else set()
-    assert run_gold(spark, silver_path, gold_path).count() == 4
+    assert run_gold(spark, silver_path, gold_path).rows.count() == 4
     after = set(os.listdir(base)) if os.path.isdir(base) else set()
     assert after <= before
 

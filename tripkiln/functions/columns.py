@@ -44,6 +44,11 @@ def cast_value(c: ColumnOrName, kind: str, digits: int | None = None) -> Column:
     return out
 
 
+def parse_timestamp(c: ColumnOrName, fmt: str) -> Column:
+    """Text in exactly the given format as a wall-clock time; null otherwise."""
+    return F.try_to_timestamp(_col(c), F.lit(fmt)).cast(S.SPARK_TYPES[S.TIMESTAMP])
+
+
 def split_part(c: ColumnOrName, index: int, separator: str = " ") -> Column:
     """0-based part of ``c`` split on a literal separator; null when missing."""
     return F.get(F.split(_col(c), re.escape(separator)), index)

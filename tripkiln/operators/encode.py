@@ -1,33 +1,52 @@
-"""Ordinal encoding of text columns with Spark ML's ``StringIndexer``.
+"""Ordinal encoding of text columns, without the labels on the driver.
 
-Labels are ordered by frequency (most frequent = 0), ties alphabetically;
-nulls and labels unseen at fit time get the next index (``keep``). Fitting
-is one distributed aggregation over all columns; only the label lists
-(bounded by the number of distinct labels) reach the driver, so use it for
-low-cardinality columns such as a sex or flag column.
+Labels are ordered by frequency (most frequent = 0), ties alphabetically. The
+distinct labels are counted and grouped by (count, first characters); a
+label's index is its place in its group plus the sizes of the groups before
+it, so neither the driver nor one task holds a column's labels.
 """
 
 from __future__ import annotations
 
-from pyspark.ml.feature import StringIndexer
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tripkiln import config as C
 
+_LABEL, _COUNT, _PART, _PLACE, _BASE = "__tk_label", "__tk_count", "__tk_part", "__tk_place", "__tk_base"
+#: First characters that split labels of one count.
+GROUP_CHARACTERS = 6
+
+
+def label_indices(df: DataFrame, column: str, index: str) -> DataFrame:
+    """``(label, index)`` of every non-null label of ``column``."""
+    counts = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias(_LABEL)).agg(F.count(F.lit(1)).alias(_COUNT))
+    # rare labels share a count: their first characters split them, in label order
+    part = F.struct(-F.col(_COUNT), F.substring(_LABEL, 1, GROUP_CHARACTERS))
+    keyed = counts.withColumn(_PART, part)
+    sizes = keyed.groupBy(_PART).agg(F.count(F.lit(1)).alias(_BASE))
+    before = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
+    bases = sizes.withColumn(_BASE, F.coalesce(F.sum(_BASE).over(before), F.lit(0)))
+    place = F.row_number().over(Window.partitionBy(_PART).orderBy(_LABEL)) - 1
+    return keyed.withColumn(_PLACE, place).join(bases, _PART).select(
+        _LABEL, (F.col(_BASE) + F.col(_PLACE)).cast("double").alias(index)
+    )
+
 
 def encode_ordinal(
     df: DataFrame,
     columns: tuple[str, ...] = C.ORDINAL_ENCODING_COLUMNS,
     suffix: str = "_index",
-    handle_invalid: str = "keep",
 ) -> DataFrame:
-    cols = [c for c in columns if c in df.columns]
-    if not cols:
-        return df
-    indexer = StringIndexer(
-        inputCols=cols,
-        outputCols=[c + suffix for c in cols],
-        handleInvalid=handle_invalid,
-        stringOrderType="frequencyDesc",
-    )
-    return indexer.fit(df).transform(df)
+    """Append ``<column><suffix>`` (double); nulls get the next free index."""
+    out = df
+    for c in columns:
+        if c not in df.columns:
+            continue
+        index = c + suffix
+        labels = label_indices(df, c, index)
+        n_labels = F.coalesce(df.select(F.col(c)).where(F.col(c).isNotNull()).distinct().agg(F.count(F.lit(1))).scalar(), F.lit(0))
+        out = out.join(labels, out[c] == labels[_LABEL], "left").drop(_LABEL)
+        out = out.withColumn(index, F.coalesce(F.col(index), n_labels.cast("double")))
+    return out

@@ -22,16 +22,30 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tripkiln.config import SilverConfig
+from tripkiln.functions.columns import parse_timestamp
 from tripkiln.operators import aggregates as A
 from tripkiln.operators import cleanse, features, privacy
 from tripkiln.operators.encode import encode_ordinal
 from tripkiln.operators.impute import impute_mean, impute_mode
 from tripkiln.plans.gold import gold
+from tripkiln.plans.runs import run_gold, run_silver
 from tripkiln.plans.silver import silver
 from tripkiln.schema import CAST_SPEC
 from tripkiln.session import checkpoint_dir
-from tripkiln.sources import tables
-from tripkiln.sources.fixtures import RAW_TRIPS_SQL, TRIP_KEYS, TRIPS_SQL, raw_trips, trips
+from tripkiln.sources import ledger, tables
+from tripkiln.sources.files import read_raw_csv
+from tripkiln.sources.fixtures import (
+    MORE,
+    MORE_DOUBLES,
+    MORE_INTS,
+    MORE_TEXTS,
+    RAW_TRIPS_SQL,
+    TRIP_KEYS,
+    TRIPS_SQL,
+    raw_trips,
+    trips,
+)
+from tripkiln.sources.sinks import write_csv, write_fanout, write_parquet
 from tripkiln.streaming.ingest import gold_stream, silver_stream
 
 # fixed batch time of the registered silver runs (keeps results comparable)
@@ -57,7 +71,7 @@ def q_trips_fixture(spark, sf):
 
 
 def q_cast_types(spark, sf):
-    return cleanse.cast_columns(raw_trips(spark, sf), CAST_SPEC, missing="skip")
+    return cleanse.cast_columns(raw_trips(spark, sf), CAST_SPEC)
 
 
 def q_impute_mean(spark, sf):
@@ -181,50 +195,196 @@ def q_split_name_exploded(spark, sf):
     return _keys_and(out, "passenger_fullname", "passenger_first_name", "passenger_last_name")
 
 
-def _stream_silver(spark, sf) -> str:
-    """Raw trips land as CSV files; an available-now stream ingests them.
-    Returns the folder holding ``silver`` (and room for ``gold``)."""
-    base = f"{checkpoint_dir(spark).rstrip('/')}/tripkiln-stream/{uuid.uuid4().hex}"
-    raw = raw_trips(spark, sf)
-    raw.write.option("header", True).csv(f"{base}/landing")
-    file_schema = StructType(
+# -- runs and streams: each works in a folder of its own and hands out its committed rows --
+
+_LABELS = {"wide": "concat('label ', cast(l_partkey as string))"}
+
+
+def _base(spark) -> str:
+    return f"{checkpoint_dir(spark).rstrip('/')}/tripkiln-runs/{uuid.uuid4().hex}"
+
+
+def _file_schema(raw: DataFrame) -> StructType:
+    return StructType(
         [f if f.name in KEYS or f.name == "batch_no" else StructField(f.name, StringType()) for f in raw.schema]
     )
+
+
+def _land(raw: DataFrame, folder: str) -> None:
+    raw.write.mode("append").option("header", True).csv(folder)
+
+
+def _by_number(rows: DataFrame) -> DataFrame:
+    """Without the partitions, and with the micro-batch's number only."""
+    number = F.element_at(F.split("batch_id", "-"), -1).cast("int")
+    return rows.drop("ingest_date", "ingest_hour").withColumn("batch_id", number)
+
+
+def q_csv_source(spark, sf):
+    """Raw trips written as CSV in two folders and read back from both."""
+    base, raw = _base(spark), raw_trips(spark, sf)
+    _land(raw.where("batch_no < 2"), f"{base}/a")
+    _land(raw.where("batch_no >= 2"), f"{base}/b")
+    return read_raw_csv(spark, [f"{base}/a", f"{base}/b"], schema=_file_schema(raw))
+
+
+def _sink_rows(spark, sf):
+    return _keys_and(trips(spark, sf), "trip_distance", "passenger_email", "batch_no")
+
+
+def q_csv_sinks(spark, sf):
+    """Trips written as CSV with and without a header, read back together."""
+    base, rows = _base(spark), _sink_rows(spark, sf)
+    write_csv(rows.where("batch_no < 3"), f"{base}/with", header=True)
+    write_csv(rows.where("batch_no >= 3"), f"{base}/without", header=False)
+    read = lambda header, name: spark.read.schema(rows.schema).option("header", header).csv(f"{base}/{name}")
+    return read(True, "with").union(read(False, "without"))
+
+
+def q_parquet_sinks(spark, sf):
+    """Two appends to a folder, one of them through the fan-out, partitioned by batch."""
+    base, rows = _base(spark), _sink_rows(spark, sf)
+    write_parquet(rows.where("batch_no < 3"), f"{base}/t", partition_by=["batch_no"])
+    write_parquet(rows.where("batch_no >= 3"), f"{base}/t", partition_by=["batch_no"])
+    write_fanout(rows, [("parquet", f"{base}/copy", "append")])
+    both = spark.read.parquet(f"{base}/t").select(rows.columns)
+    return both.withColumn("batch_no", F.col("batch_no").cast("long")).exceptAll(
+        spark.read.parquet(f"{base}/copy").where("batch_no = 4")
+    )
+
+
+def q_observed_rows(spark, sf):
+    """The row count that a write reports beside its own work."""
+    rows, seen = tables.observe_rows(trips(spark, sf).select(*KEYS))
+    rows.write.format("noop").mode("overwrite").save()
+    return spark.range(1).select(F.lit(seen.get["rows"]).cast("long").alias("n_rows"))
+
+
+def q_row_id(spark, sf):
+    """A stable id of the keys: as many ids as keys, and the same on a second pass."""
+    once = cleanse.add_row_id(trips(spark, sf).select(*KEYS), KEYS)
+    again = cleanse.add_row_id(trips(spark, sf).select(*KEYS), KEYS)
+    return once.join(again, [*KEYS, "id"], "left_semi").groupBy("l_linenumber").agg(F.countDistinct("id").alias("n_ids"))
+
+
+def q_compute_columns(spark, sf):
+    t = cleanse.compute_columns(
+        trips(spark, sf),
+        {"tip_share": F.round(F.try_divide("tip_amount", "total_amount"), 4), "is_long": F.col("trip_distance") > 25},
+    )
+    return _keys_and(t, "tip_share", "is_long")
+
+
+def q_busiest_areas(spark, sf):
+    """Sort descending and limit: the ten busiest area pairs."""
+    areas = A.busy_area(trips(spark, sf)).withColumnRenamed("count", "n_trips")
+    return areas.orderBy(F.desc("n_trips"), "PULocationID", "DOLocationID").limit(10)
+
+
+def q_parse_format(spark, sf):
+    """Timestamps bound to one format: null on any other text."""
+    raw = raw_trips(spark, sf)
+    return _keys_and(
+        raw.select(*KEYS, parse_timestamp("lpep_pickup_datetime", "yyyy-MM-dd'T'HH:mm:ss").alias("pickup_iso"),
+                   parse_timestamp("request_datetime", "yyyy-MM-dd HH:mm:ss").alias("request_plain")),
+        "pickup_iso", "request_plain",
+    )
+
+
+def q_encode_wide(spark, sf):
+    """Ordinal encoding of a column with about as many labels as parts."""
+    t = trips(spark, sf).withColumn("label", F.expr(_LABELS["wide"]))
+    return _keys_and(encode_ordinal(t, ("label",)), "label", "label_index")
+
+
+def _silver_in(spark, base: str, raw: DataFrame, folder: str, at: _dt.datetime = BATCH_TIME):
+    return run_silver(spark, folder, f"{base}/silver", batch_time=at, schema=_file_schema(raw))
+
+
+def q_silver_rerun(spark, sf):
+    """A drop ingested twice, and once more with a new file: no row twice."""
+    base, raw = _base(spark), raw_trips(spark, sf)
+    _land(raw.where("batch_no < 3"), f"{base}/drop")
+    first = _silver_in(spark, base, raw, f"{base}/drop")
+    again = _silver_in(spark, base, raw, f"{base}/drop")
+    assert not first.empty and again.empty
+    _land(raw.where("batch_no >= 3"), f"{base}/drop")
+    _silver_in(spark, base, raw, f"{base}/drop")
+    return _keys_and(ledger.read_committed(spark, f"{base}/silver"), "batch_no", "driver_email")
+
+
+def _two_batches(spark, sf, silver_name: str, gold_name: str) -> DataFrame:
+    """Gold runs after a first batch, after one stamped earlier, and once more."""
+    base, raw = _base(spark), raw_trips(spark, sf)
+    silver_name, gold_name = silver_name.format(base=base), gold_name.format(base=base)
+    _land(raw.where("batch_no < 3"), f"{base}/one")
+    _land(raw.where("batch_no >= 3"), f"{base}/two")
+    schema = _file_schema(raw)
+    run_silver(spark, f"{base}/one", silver_name, batch_time=BATCH_TIME, schema=schema)
+    run_gold(spark, silver_name, gold_name)
+    run_silver(spark, f"{base}/two", silver_name, batch_time=BATCH_TIME - _dt.timedelta(hours=5), schema=schema)
+    run_gold(spark, silver_name, gold_name)
+    assert run_gold(spark, silver_name, gold_name).empty
+    return _keys_and(ledger.read_committed(spark, gold_name), "batch_no", "driver_email", "driver_experience_level", "ingest_hour")
+
+
+def q_gold_late_batch(spark, sf):
+    return _two_batches(spark, sf, "{base}/silver", "{base}/gold")
+
+
+def q_gold_catalog_table(spark, sf):
+    """The same with catalog tables as the targets."""
+    tag = uuid.uuid4().hex
+    return _two_batches(spark, sf, f"tk_silver_{tag}", f"tk_gold_{tag}")
+
+
+def _stream(spark, raw: DataFrame, base: str, folder: str, checkpoint: str, **options) -> None:
     silver_stream(
-        spark, f"{base}/landing", f"{base}/silver", f"{base}/checkpoint",
-        schema=file_schema, cast_missing="skip", batch_time=BATCH_TIME,
+        spark, f"{base}/{folder}", f"{base}/silver", f"{base}/{checkpoint}",
+        schema=_file_schema(raw), batch_time=BATCH_TIME, **options,
     )
-    return base
 
 
 def q_stream_ingest(spark, sf):
-    return spark.read.parquet(f"{_stream_silver(spark, sf)}/silver")
+    """Raw trips land as CSV files; an available-now stream ingests them."""
+    base, raw = _base(spark), raw_trips(spark, sf)
+    _land(raw, f"{base}/landing")
+    _stream(spark, raw, base, "landing", "checkpoint")
+    return _by_number(ledger.read_committed(spark, f"{base}/silver"))
 
 
 def q_stream_gold(spark, sf):
     """The silver stream's table feeds an available-now gold stream."""
-    base = _stream_silver(spark, sf)
+    base, raw = _base(spark), raw_trips(spark, sf)
+    _land(raw, f"{base}/landing")
+    _stream(spark, raw, base, "landing", "checkpoint")
     gold_stream(spark, f"{base}/silver", f"{base}/gold", f"{base}/checkpoint-gold")
-    return spark.read.parquet(f"{base}/gold")
+    return _by_number(ledger.read_committed(spark, f"{base}/gold"))
+
+
+def q_stream_two_batches(spark, sf):
+    """Two landing folders with checkpoints of their own write to one silver
+    table, consumed files are archived, and gold follows twice: every trip
+    arrives once, counted within its increment."""
+    base, raw = _base(spark), raw_trips(spark, sf)
+    for folder, part in (("one", "batch_no < 3"), ("two", "batch_no >= 3")):
+        _land(raw.where(part), f"{base}/{folder}")
+        _stream(spark, raw, base, folder, f"checkpoint-{folder}", archive_dir=f"{base}/archive")
+        gold_stream(spark, f"{base}/silver", f"{base}/gold", f"{base}/checkpoint-gold")
+    return _keys_and(_by_number(ledger.read_committed(spark, f"{base}/gold")), "batch_no", "driver_email", "driver_experience_level", "batch_id")
 
 
 def q_silver_clean(spark, sf):
-    return silver(
-        raw_trips(spark, sf), SilverConfig(), cast_missing="skip", batch_time=BATCH_TIME, stage_typed=True
-    )
+    return silver(raw_trips(spark, sf), SilverConfig(), batch_time=BATCH_TIME)
 
 
 def q_silver_script_preset(spark, sf):
-    return silver(
-        raw_trips(spark, sf), SilverConfig.script_variant(), cast_missing="skip",
-        batch_time=BATCH_TIME, stage_typed=True,
-    )
+    return silver(raw_trips(spark, sf), SilverConfig.script_variant(), batch_time=BATCH_TIME)
 
 
 def q_gold_features(spark, sf):
-    # silver is a projection over its staged typed rows, so gold's branches
-    # read those (pruned) directly; a production gold run reads the silver table
-    return gold(q_silver_clean(spark, sf))
+    # gold reads its silver rows several times (a run reads the written table)
+    return gold(q_silver_clean(spark, sf).persist())
 
 
 QUERIES: dict[str, Query] = {
@@ -248,6 +408,19 @@ QUERIES: dict[str, Query] = {
     "incremental_load": q_incremental_load,
     "encode_ordinal": q_encode_ordinal,
     "split_name_exploded": q_split_name_exploded,
+    "encode_wide": q_encode_wide,
+    "csv_source": q_csv_source,
+    "csv_sinks": q_csv_sinks,
+    "parquet_sinks": q_parquet_sinks,
+    "observed_rows": q_observed_rows,
+    "row_id": q_row_id,
+    "compute_columns": q_compute_columns,
+    "busiest_areas": q_busiest_areas,
+    "parse_format": q_parse_format,
+    "silver_rerun": q_silver_rerun,
+    "gold_late_batch": q_gold_late_batch,
+    "gold_catalog_table": q_gold_catalog_table,
+    "stream_two_batches": q_stream_two_batches,
     "stream_ingest": q_stream_ingest,
     "stream_gold": q_stream_gold,
     "silver_clean": q_silver_clean,
@@ -275,11 +448,12 @@ _TRIP_COLS = (
     "VendorID, lpep_pickup_datetime, lpep_dropoff_datetime, request_datetime, passenger_count, "
     "trip_distance, fare_amount, tip_amount, total_amount, PULocationID, DOLocationID, "
     "passenger_email, driver_email, passenger_phone_number, passenger_fullname, "
-    "passenger_credit_card, store_and_fwd_flag, batch_no"
+    "passenger_credit_card, store_and_fwd_flag, batch_no, " + ", ".join(MORE)
 )
-_INT_COLS = ("VendorID", "passenger_count", "PULocationID", "DOLocationID")
-_DOUBLE_COLS = ("trip_distance", "fare_amount", "tip_amount", "total_amount")
+_INT_COLS = ("VendorID", "passenger_count", "PULocationID", "DOLocationID", *MORE_INTS)
+_DOUBLE_COLS = ("trip_distance", "fare_amount", "tip_amount", "total_amount", *MORE_DOUBLES)
 _TEXT_COLS = (
+    *MORE_TEXTS,
     "passenger_email", "driver_email", "passenger_phone_number",
     "passenger_fullname", "passenger_credit_card", "store_and_fwd_flag",
 )
@@ -312,6 +486,11 @@ def _mode_filled(source: str) -> str:
     return f"select {_K}, {', '.join(cols)} from {source}"
 
 
+_MORE_TYPED = ", ".join(
+    [f"try_cast(trunc(try_cast({c} as double)) as integer) as {c}" for c in MORE_INTS]
+    + [f"{_r(f'try_cast({c} as double)', digits)} as {c}" for c, (_, digits) in MORE_DOUBLES.items()]
+    + list(MORE_TEXTS)
+)
 _TYPED_FROM_RAW = f"""
 select {_K},
   try_cast(trunc(try_cast(VendorID as double)) as integer) as VendorID,
@@ -326,10 +505,16 @@ select {_K},
   try_cast(trunc(try_cast(PULocationID as double)) as integer) as PULocationID,
   try_cast(trunc(try_cast(DOLocationID as double)) as integer) as DOLocationID,
   passenger_email, driver_email, passenger_phone_number, passenger_fullname,
-  passenger_credit_card, store_and_fwd_flag, batch_no
+  passenger_credit_card, store_and_fwd_flag, batch_no, {_MORE_TYPED}
 from raw
 """
 
+_MORE_SILVER = """
+  left(driver_phone_number, 4) || '***' || right(driver_phone_number, 4) as driver_phone_number,
+  '*****' as driver_credit_card,
+  string_split(driver_fullname, ' ')[1] as driver_first_name,
+  string_split(driver_fullname, ' ')[2] as driver_last_name,
+  """ + ", ".join(c for c in MORE if not c.startswith("driver_"))
 _SILVER_FROM_FILLED = f"""
 select {_K}, VendorID,
   lpep_pickup_datetime as pickup_datetime,
@@ -338,7 +523,7 @@ select {_K}, VendorID,
   PULocationID, DOLocationID, passenger_email, driver_email,
   left(passenger_phone_number, 4) || '***' || right(passenger_phone_number, 4) as passenger_phone_number,
   '*****' as passenger_credit_card,
-  store_and_fwd_flag, batch_no,
+  store_and_fwd_flag, batch_no, {_MORE_SILVER},
   string_split(passenger_fullname, ' ')[1] as passenger_first_name,
   string_split(passenger_fullname, ' ')[2] as passenger_last_name,
   cast({BATCH_EPOCH} as bigint) as ingest_timestamp,
@@ -354,6 +539,11 @@ _SCRIPT_SILVER_FROM_FILLED = (
              "case when passenger_credit_card is not null then '*****' end as passenger_credit_card")
     .replace("as passenger_first_name", "as first_name")
     .replace("as passenger_last_name", "as last_name")
+    .replace("left(driver_phone_number, 4)", "left(driver_phone_number, 3)")
+    .replace("right(driver_phone_number, 4)", "right(driver_phone_number, 3)")
+    .replace("'*****' as driver_credit_card", "case when driver_credit_card is not null then '*****' end as driver_credit_card")
+    .replace("string_split(driver_fullname, ' ')[1] as driver_first_name,", "driver_fullname,")
+    .replace("string_split(driver_fullname, ' ')[2] as driver_last_name,", "")
 )
 
 _SILVER_CTES = (
@@ -402,6 +592,9 @@ _RENAMED = (
 )
 _DUR_R = f"({_secs('dropoff_datetime')} - {_secs('pickup_datetime')}) / 60"
 
+_TWO_INCREMENTS = f"""select {_K}, batch_no, driver_email,
+  count(*) over (partition by driver_email, batch_no < 3) as driver_experience_level{{extra}} from trips"""
+
 ORACLES: dict[str, str] = {
     "trips_fixture": TRIPS_SQL,
     "cast_types": _with(_TRIPS, ("raw", RAW_TRIPS_SQL)) + _TYPED_FROM_RAW,
@@ -481,6 +674,34 @@ ORACLES: dict[str, str] = {
     + f"""select {_K}, store_and_fwd_flag,
       cast(coalesce(idx, (select count(*) from labels)) as double) as store_and_fwd_flag_index
       from trips left join labels on store_and_fwd_flag = v""",
+    "encode_wide": _with(
+        ("trips", f"select *, {_LABELS['wide']} as label from ({TRIPS_SQL})"),
+        ("labels", "select label, row_number() over (order by count(*) desc, label) - 1 as idx from trips group by 1"),
+    )
+    + f"select {_K}, label, cast(idx as double) as label_index from trips left join labels using (label)",
+    "csv_source": _with(_TRIPS, ("raw", RAW_TRIPS_SQL))
+    + "select * replace (nullif(DOLocationID, '') as DOLocationID) from raw",
+    "csv_sinks": _with(_TRIPS) + f"select {_K}, trip_distance, passenger_email, batch_no from trips",
+    "parquet_sinks": _with(_TRIPS) + f"select {_K}, trip_distance, passenger_email, batch_no from trips where batch_no <> 4",
+    "observed_rows": _with(_TRIPS) + "select count(*) as n_rows from trips",
+    "row_id": _with(_TRIPS)
+    + f"select l_linenumber, count(distinct ({_K})) as n_ids from trips group by 1",
+    "compute_columns": _with(_TRIPS)
+    + f"""select {_K}, {_r("tip_amount / nullif(total_amount, 0)", 4)} as tip_share,
+      trip_distance > 25 as is_long from trips""",
+    "busiest_areas": _with(_TRIPS)
+    + """select PULocationID, DOLocationID, count(*) as n_trips from trips group by 1, 2
+      order by n_trips desc, PULocationID, DOLocationID limit 10""",
+    "parse_format": _with(_TRIPS, ("raw", RAW_TRIPS_SQL))
+    + f"""select {_K},
+      case when regexp_full_match(lpep_pickup_datetime, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}T[0-9:]{{8}}')
+           then try_cast(lpep_pickup_datetime as timestamp) end as pickup_iso,
+      case when regexp_full_match(request_datetime, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}} [0-9:]{{8}}')
+           then try_cast(request_datetime as timestamp) end as request_plain from raw""",
+    "silver_rerun": _with(_TRIPS) + f"select {_K}, batch_no, driver_email from trips",
+    "gold_late_batch": _with(_TRIPS) + _TWO_INCREMENTS.format(extra=", case when batch_no < 3 then 0 else 19 end as ingest_hour"),
+    "gold_catalog_table": _with(_TRIPS) + _TWO_INCREMENTS.format(extra=", case when batch_no < 3 then 0 else 19 end as ingest_hour"),
+    "stream_two_batches": _with(_TRIPS) + _TWO_INCREMENTS.format(extra=", 0 as batch_id"),
     "silver_clean": _with(*_SILVER_CTES) + "select * from silver",
     "stream_ingest": _with(*_SILVER_CTES) + "select *, 0 as batch_id from silver",
     "stream_gold": _with(*_SILVER_CTES, ("gold", _GOLD_ROW)) + "select *, 0 as batch_id from gold",

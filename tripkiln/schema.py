@@ -23,37 +23,54 @@ class CastRule:
     digits: int | None = None
 
 
-def _rules(kind: str, names: str, digits: int | None = None) -> list[CastRule]:
-    return [CastRule(n, kind, digits) for n in names.split()]
-
-
 # fixed values: the 45 raw trip columns, their types and rounding digits,
 # in the order of the raw file.
-CAST_SPEC: tuple[CastRule, ...] = tuple(
-    _rules(INT, "VendorID")
-    + _rules(TIMESTAMP, "lpep_pickup_datetime lpep_dropoff_datetime request_datetime")
-    + _rules(INT, "passenger_count")
-    + _rules(DOUBLE, "trip_distance", 2)
-    + _rules(INT, "RatecodeID")
-    + _rules(STRING, "store_and_fwd_flag")
-    + _rules(INT, "PULocationID DOLocationID payment_type")
-    + _rules(DOUBLE, "fare_amount", 2)
-    + _rules(DOUBLE, "extra", 1)
-    + _rules(DOUBLE, "mta_tax tip_amount tolls_amount", 2)
-    + _rules(DOUBLE, "improvement_surcharge total_amount congestion_surcharge", 1)
-    + _rules(DOUBLE, "airport_fee", 2)
-    + _rules(STRING, "driver_email driver_phone_number driver_fullname driver_credit_card")
-    + _rules(STRING, "passenger_email passenger_phone_number passenger_fullname")
-    + _rules(STRING, "passenger_credit_card passenger_address passenger_Job")
-    + _rules(INT, "passenger_age")
-    + _rules(STRING, "passenger_sex")
-    + _rules(DOUBLE, "pickup_latitude pickup_longitude dropoff_latitude dropoff_longitude", 6)
-    + _rules(INT, "pickup_AQI dropoff_AQI")
-    + _rules(DOUBLE, "temperature humidity pickup_precipitation_chance", 1)
-    + _rules(INT, "uv_index")
-    + _rules(DOUBLE, "feels_like", 0)
-    + _rules(STRING, "weather_description")
-    + _rules(DOUBLE, "wind_speed_km", 0)
+CAST_SPEC: tuple[CastRule, ...] = (
+    CastRule("VendorID", INT),
+    CastRule("lpep_pickup_datetime", TIMESTAMP),
+    CastRule("lpep_dropoff_datetime", TIMESTAMP),
+    CastRule("request_datetime", TIMESTAMP),
+    CastRule("passenger_count", INT),
+    CastRule("trip_distance", DOUBLE, 2),
+    CastRule("RatecodeID", INT),
+    CastRule("store_and_fwd_flag", STRING),
+    CastRule("PULocationID", INT),
+    CastRule("DOLocationID", INT),
+    CastRule("payment_type", INT),
+    CastRule("fare_amount", DOUBLE, 2),
+    CastRule("extra", DOUBLE, 1),
+    CastRule("mta_tax", DOUBLE, 2),
+    CastRule("tip_amount", DOUBLE, 2),
+    CastRule("tolls_amount", DOUBLE, 2),
+    CastRule("improvement_surcharge", DOUBLE, 1),
+    CastRule("total_amount", DOUBLE, 1),
+    CastRule("congestion_surcharge", DOUBLE, 1),
+    CastRule("airport_fee", DOUBLE, 2),
+    CastRule("driver_email", STRING),
+    CastRule("driver_phone_number", STRING),
+    CastRule("driver_fullname", STRING),
+    CastRule("driver_credit_card", STRING),
+    CastRule("passenger_email", STRING),
+    CastRule("passenger_phone_number", STRING),
+    CastRule("passenger_fullname", STRING),
+    CastRule("passenger_credit_card", STRING),
+    CastRule("passenger_address", STRING),
+    CastRule("passenger_Job", STRING),
+    CastRule("passenger_age", INT),
+    CastRule("passenger_sex", STRING),
+    CastRule("pickup_latitude", DOUBLE, 6),
+    CastRule("pickup_longitude", DOUBLE, 6),
+    CastRule("dropoff_latitude", DOUBLE, 6),
+    CastRule("dropoff_longitude", DOUBLE, 6),
+    CastRule("pickup_AQI", INT),
+    CastRule("dropoff_AQI", INT),
+    CastRule("temperature", DOUBLE, 1),
+    CastRule("humidity", DOUBLE, 1),
+    CastRule("pickup_precipitation_chance", DOUBLE, 1),
+    CastRule("uv_index", INT),
+    CastRule("feels_like", DOUBLE, 0),
+    CastRule("weather_description", STRING),
+    CastRule("wind_speed_km", DOUBLE, 0),
 )
 
 RAW_COLUMNS: tuple[str, ...] = tuple(r.name for r in CAST_SPEC)

@@ -18,6 +18,53 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def _double(expr: str, by: int) -> str:
+    return f"({expr}) / cast({by} as double)"
+
+
+def _some(expr: str, null_when: str) -> str:
+    return f"case when {null_when} then null else {expr} end"
+
+
+#: The other columns of a trip, as SQL that Spark and DuckDB read alike: whole
+#: numbers, numbers with more digits than the cast keeps, text, and nulls.
+MORE_INTS: dict[str, str] = {
+    "RatecodeID": _some("cast(l_linenumber % 6 as int)", "l_orderkey % 9 = 0"),
+    "payment_type": "cast(l_suppkey % 5 as int)",
+    "passenger_age": _some("cast(18 + o_custkey % 60 as int)", "o_custkey % 8 = 0"),
+    "pickup_AQI": "cast(l_partkey % 300 as int)",
+    "dropoff_AQI": _some("cast(l_suppkey % 300 as int)", "l_linenumber = 2"),
+    "uv_index": "cast(l_orderkey % 12 as int)",
+}
+MORE_DOUBLES: dict[str, tuple[str, int]] = {  # with the digits that the cast keeps
+    "extra": (_double("l_partkey % 70", 8), 1),
+    "mta_tax": (_double("l_suppkey % 100", 64), 2),
+    "tolls_amount": (_some(_double("l_orderkey % 5000", 128), "l_partkey % 6 = 0"), 2),
+    "improvement_surcharge": (_double("l_linenumber", 4), 1),
+    "congestion_surcharge": (_some(_double("l_orderkey % 33", 16), "l_orderkey % 10 = 0"), 1),
+    "airport_fee": (_double("l_partkey % 900", 512), 2),
+    "pickup_latitude": (_double("40000000 + (l_orderkey * 7919 + l_partkey) % 9999999", 1 << 20), 6),
+    "pickup_longitude": (_double("-74000000 - (l_orderkey * 104729) % 9999999", 1 << 20), 6),
+    "dropoff_latitude": (_some(_double("40000000 + (l_partkey * 7919) % 9999999", 1 << 20), "l_orderkey % 14 = 0"), 6),
+    "dropoff_longitude": (_double("-74000000 - (l_suppkey * 104729 + l_linenumber) % 9999999", 1 << 20), 6),
+    "temperature": (_double("l_orderkey % 700 - 200", 16), 1),
+    "humidity": (_some(_double("l_partkey % 1600", 16), "l_suppkey % 21 = 0"), 1),
+    "pickup_precipitation_chance": (_double("l_suppkey % 800", 8), 1),
+    "feels_like": (_double("l_orderkey % 71 - 20", 2), 0),
+    "wind_speed_km": (_some(_double("l_partkey % 121", 2), "l_linenumber = 5"), 0),
+}
+MORE_TEXTS: dict[str, str] = {
+    "driver_phone_number": _some("concat('+4930', lpad(cast(l_suppkey as string), 6, '0'))", "l_suppkey % 16 = 0"),
+    "driver_fullname": "concat('Dana ', cast(l_suppkey as string))",
+    "driver_credit_card": _some("concat('5', lpad(cast(l_suppkey as string), 15, '0'))", "l_linenumber = 4"),
+    "passenger_address": _some("concat(cast(o_custkey as string), ' Main St')", "o_custkey % 12 = 0"),
+    "passenger_Job": "concat('job ', cast(o_custkey % 30 as string))",
+    "passenger_sex": _some("substr('FMX', cast(1 + o_custkey % 3 as int), 1)", "o_custkey % 18 = 0"),
+    "weather_description": _some("concat('weather ', cast(l_orderkey % 6 as string))", "l_orderkey % 25 = 0"),
+}
+MORE: dict[str, str] = {**MORE_INTS, **{c: e for c, (e, _) in MORE_DOUBLES.items()}, **MORE_TEXTS}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -67,11 +114,12 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("4"), F.lpad(ok.cast("string"), 15, "0")).alias("passenger_credit_card"),
         F.when(ok % 7 == 0, null.cast("string")).otherwise(F.col("l_returnflag")).alias("store_and_fwd_flag"),
         (ok % 5).alias("batch_no"),
+        *[F.expr(sql).alias(c) for c, sql in MORE.items()],
     )
 
 
 # DuckDB form of the same projection, for oracle queries.
-TRIPS_SQL = """
+TRIPS_SQL = f"""
 select l_orderkey, l_linenumber, l_partkey, l_suppkey,
   cast(l_suppkey % 3 as int) as VendorID,
   o_orderdate + to_seconds((l_orderkey*37+l_linenumber*3600+l_partkey*60) % 86400) as lpep_pickup_datetime,
@@ -92,7 +140,8 @@ select l_orderkey, l_linenumber, l_partkey, l_suppkey,
   case when l_orderkey % 19 = 0 then 'Cher' else p_name end as passenger_fullname,
   '4' || lpad(cast(l_orderkey as varchar), 15, '0') as passenger_credit_card,
   case when l_orderkey % 7 = 0 then null else l_returnflag end as store_and_fwd_flag,
-  l_orderkey % 5 as batch_no
+  l_orderkey % 5 as batch_no,
+  {", ".join(f"{sql} as {c}" for c, sql in MORE.items())}
 from lineitem
 join orders on l_orderkey = o_orderkey
 join part on l_partkey = p_partkey
@@ -133,11 +182,12 @@ def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
             "total_amount": text("total_amount"),
             "PULocationID": text("PULocationID"),
             "DOLocationID": F.when(ok % 41 == 0, F.lit("")).otherwise(text("DOLocationID")),
+            **{c: text(c) for c in MORE},
         }
     )
 
 
-RAW_TRIPS_SQL = """
+RAW_TRIPS_SQL = f"""
 select l_orderkey, l_linenumber, l_partkey, l_suppkey,
   case when l_orderkey % 23 = 0 then '1e12' else cast(VendorID as varchar) end as VendorID,
   strftime(lpep_pickup_datetime, '%Y-%m-%dT%H:%M:%S')
@@ -153,6 +203,7 @@ select l_orderkey, l_linenumber, l_partkey, l_suppkey,
   cast(PULocationID as varchar) as PULocationID,
   case when l_orderkey % 41 = 0 then '' else cast(DOLocationID as varchar) end as DOLocationID,
   passenger_email, driver_email, passenger_phone_number, passenger_fullname,
-  passenger_credit_card, store_and_fwd_flag, batch_no
+  passenger_credit_card, store_and_fwd_flag, batch_no,
+  {", ".join(f"cast({c} as varchar) as {c}" for c in MORE)}
 from trips
 """

@@ -22,43 +22,28 @@ def _new_path(spark: SparkSession, label: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/tripkiln-stage/{label}-{uuid.uuid4().hex}"
 
 
-_CREATED: list[str] = []
-
-
 def stage(df: DataFrame, label: str = "stage") -> DataFrame:
-    """Write ``df`` as parquet under ``spark.checkpoint.dir`` and read it back."""
+    """Write ``df`` as parquet under ``spark.checkpoint.dir`` and read it back.
+
+    The folder stays until the caller removes it (:func:`remove`); use
+    :func:`staged` where the copy has a known end."""
     spark = df.sparkSession
     path = _new_path(spark, label)
     df.write.mode("error").parquet(path)
-    _CREATED.append(path)
     return spark.read.parquet(path)
 
 
-@contextmanager
-def cleanup_stages(spark: SparkSession) -> Iterator[None]:
-    """Remove every folder staged by :func:`stage` inside the block when it
-    ends (wrap the write of a job's final output)."""
-    start = len(_CREATED)
-    try:
-        yield
-    finally:
-        created, _CREATED[start:] = _CREATED[start:], []
-        for path in created:
-            remove(spark, path)
-
-
 def remove(spark: SparkSession, path: str) -> None:
-    """Delete a staged folder (through the cluster's file system client).
-
-    Without a JVM handle (Spark Connect) the folder is left to the checkpoint
-    folder's retention.
-    """
+    """Delete a staged folder through the cluster's file system client;
+    raises where it cannot, as staged rows may hold personal data."""
     try:
-        jvm = spark._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
-    except AttributeError:
-        return
+        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    except AttributeError as e:
+        raise RuntimeError(f"this session has no file system client; remove {path} by hand") from e
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(conf)
+    if not fs.delete(p, True) and fs.exists(p):
+        raise RuntimeError(f"could not remove staged folder {path}")
 
 
 @contextmanager
@@ -70,8 +55,8 @@ def staged(df: DataFrame, label: str = "stage") -> Iterator[DataFrame]:
     """
     spark = df.sparkSession
     path = _new_path(spark, label)
-    df.write.mode("error").parquet(path)
     try:
+        df.write.mode("error").parquet(path)
         yield spark.read.parquet(path)
     finally:
         remove(spark, path)
