@@ -1,8 +1,9 @@
 """Run registered queries in Spark and their oracles in DuckDB; compare.
 
 Usage: python tests/oracle_compare.py [sf_dir] [query ...]
-Rows are compared as multisets after sorting columns by name; doubles are
-compared after rounding to 9 significant digits.
+Rows are compared as multisets after sorting columns by name, columns by
+name and type; doubles after rounding to 12 significant digits (sums of
+doubles differ in their last bits by order).
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ def _norm(v):
     if isinstance(v, float) and not EXACT:
         if math.isnan(v):
             return "nan"
-        return float(f"{v:.9g}")
+        return float(f"{v:.12g}")
     if hasattr(v, "to_pydatetime"):
         return v.to_pydatetime()
     return v
@@ -45,6 +46,13 @@ def rows_of(columns, rows):
     return [tuple(_norm(r[i]) for i in order) for r in rows], [columns[i] for i in order]
 
 
+#: DuckDB's names of Spark's types.
+TYPES = {
+    "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN",
+    "timestamp_ntz": "TIMESTAMP", "date": "DATE",
+}
+
+
 def compare(spark, con, name, query, sql, sf_dir):
     t0 = time.time()
     sdf = query(spark, sf_dir)
@@ -55,11 +63,13 @@ def compare(spark, con, name, query, sql, sf_dir):
     d_rows = rel.fetchall()
     s_norm, s_cols = rows_of(sdf.columns, s_rows)
     d_norm, d_cols2 = rows_of(d_cols, d_rows)
-    ok_cols = s_cols == d_cols2
+    types = {c: TYPES.get(t, t) for c, t in sdf.dtypes}
+    other = {c: (types[c], str(t)) for c, t in zip(rel.columns, rel.types) if types.get(c) != str(t)}
+    ok_cols = s_cols == d_cols2 and not other
     ok_rows = Counter(s_norm) == Counter(d_norm)
     detail = ""
     if not ok_cols:
-        detail = f"cols spark-only={set(s_cols)-set(d_cols2)} duck-only={set(d_cols2)-set(s_cols)}"
+        detail = f"cols spark-only={set(s_cols)-set(d_cols2)} duck-only={set(d_cols2)-set(s_cols)} types (spark, duck)={other}"
     elif not ok_rows:
         a, b = Counter(s_norm), Counter(d_norm)
         only_s = list((a - b).elements())[:3]
