@@ -29,6 +29,8 @@ from tripkiln.llm.common import fresh, stage, table
 #: Labelled rows that the fit reads at most, a quarter of them toxic if there are as many.
 TRAIN_ROWS = 24_000
 N_FEATURES = 1024
+#: Texts whose features are counted together before they leave a task.
+COUNTED_TEXTS = 400
 #: Gradient steps of one fit.
 STEPS = 80
 L2 = 1e-3
@@ -152,17 +154,17 @@ def fit_chain(x: Rows, labels: np.ndarray, folds: np.ndarray, categories: Sequen
 
 def _feature_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        all_, positive = Counter(), Counter()
-        for text, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            found = text_features(text)
-            all_.update(found)
-            if y:
-                positive.update(found)
-        keys = list(all_)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(keys, pa.string()), pa.array([all_[k] for k in keys], pa.int64()), pa.array([positive[k] for k in keys], pa.int64())],
-            names=["feature", "n", "pos"],
-        )
+        for at in range(0, batch.num_rows, COUNTED_TEXTS):
+            part = batch.slice(at, COUNTED_TEXTS)
+            all_, positive = Counter(), Counter()
+            for text, y in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                found = text_features(text)
+                all_.update(found)
+                if y:
+                    positive.update(found)
+            keys = list(all_)
+            counts = [pa.array([c[k] for k in keys], pa.int64()) for c in (all_, positive)]
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), *counts], names=["feature", "n", "pos"])
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, rows: int, id_col: str, text_col: str) -> DataFrame:
@@ -213,16 +215,14 @@ def fit_toxicity(
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [text_features(t) for t in batch.column(1).to_pylist()]
-            words = [len(_WORD.findall((t or "").lower())) for t in batch.column(1).to_pylist()]
             toxic = [bool(y and y > 0) for y in batch.column(2).to_pylist()]
-            columns = [
-                batch.column(0),
-                pa.array([sorted(number[f] for f in r if f in number) for r in rows], pa.list_(pa.int32())),
-                pa.array([y and any(w in r for w in INSULTS) for y, r in zip(toxic, rows)]),
-                pa.array([y and len(marked & r) * DENSE_WORDS > n for y, r, n in zip(toxic, rows, words)]),
-                pa.array(toxic),
-            ]
+            rows, insult, dense = [], [], []
+            for text, y in zip(batch.column(1), toxic):  # one text's features at a time
+                found = text_features(text.as_py())
+                rows.append(sorted(number[f] for f in found if f in number))
+                insult.append(y and not found.isdisjoint(INSULTS))
+                dense.append(y and len(marked & found) * DENSE_WORDS > len(_WORD.findall(text.as_py() or "")))
+            columns = [batch.column(0), pa.array(rows, pa.list_(pa.int32())), *map(pa.array, (insult, dense, toxic))]
             yield pa.RecordBatch.from_arrays(columns, names=["id", "features", *CATEGORIES])
 
     id_type = dict(train.dtypes)["id"]
