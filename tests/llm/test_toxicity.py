@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tests.llm.conftest import SF
@@ -51,6 +52,17 @@ def test_scoring_sees_what_training_saw(spark):
         assert np.isclose(got[i], 1 / (1 + np.exp(-odds)))
 
 
+def test_threshold():
+    y = np.array([1.0] * 60 + [0.0] * 200)
+    p = np.concatenate([np.linspace(0.3, 0.9, 60), np.linspace(0.0, 0.1, 200)])
+    assert tx.best_threshold(p, y) == pytest.approx(0.2)
+    assert tx.best_threshold(p[30:], y[30:]) == tx.THRESHOLD  # too few toxic rows
+    assert tx.best_threshold(np.full(260, 0.2), y) == tx.THRESHOLD  # nothing separates them
+    noisy = np.concatenate([p[:60], np.linspace(0.0, 0.5, 200)])
+    t = tx.best_threshold(noisy, y)
+    assert (y[noisy >= t] > 0).mean() >= tx.PRECISION
+
+
 def test_edge_rows(spark, edge_docs, no_docs):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     labels = spark.read.parquet(f"{SF}/labels.parquet")

@@ -36,6 +36,9 @@ STEPS = 80
 L2 = 1e-3
 FOLDS = 5
 THRESHOLD = 0.5
+#: The threshold follows the out-of-fold predictions from so many toxic rows on.
+TELLING_ROWS = 50
+PRECISION = 0.95
 PREFIXES = (4, 5)
 #: Words of a document beyond which a mark in so many makes a toxic text a dense one.
 DENSE_WORDS = 60
@@ -97,6 +100,7 @@ class Chain:
     categories: list[str]
     features: list[str]
     weights: list[np.ndarray]
+    threshold: float = THRESHOLD
 
     def probabilities(self, rows: Sequence[Sequence[int]]) -> np.ndarray:
         """One row a text (its feature numbers), one column a category."""
@@ -136,20 +140,42 @@ def fit_logistic(x: Rows, y: np.ndarray, l2: float = L2, steps: int = STEPS) ->
     return scale * w
 
 
+def best_threshold(p: np.ndarray, y: np.ndarray) -> float:
+    """The probability between two rows that separates the classes with the
+    largest F score (beta 0.5: losing a clean row weighs more) at a precision
+    of ``PRECISION`` or more; ``THRESHOLD`` where the rows are too few to tell
+    or nothing separates them so well."""
+    if y.sum() < TELLING_ROWS:
+        return THRESHOLD
+    order = np.argsort(-p, kind="stable")
+    p, hits = p[order], np.cumsum(y[order])
+    taken = np.arange(1, len(p) + 1)
+    apart = np.append(p[:-1] > p[1:], True)  # equal probabilities stay together
+    score = np.where(apart & (hits >= PRECISION * taken), 1.25 * hits / (taken + 0.25 * hits[-1]), 0)
+    k = int(np.argmax(score))
+    if not score[k]:
+        return THRESHOLD
+    after = p[k + 1] if k + 1 < len(p) else 0.0
+    return float(np.clip((p[k] + after) / 2, 0.02, 0.98))
+
+
 def fit_chain(x: Rows, labels: np.ndarray, folds: np.ndarray, categories: Sequence[str], features: list[str]) -> Chain:
     """Category by category: the model over all rows is kept, the models over
-    all folds but one give the log-odds that later categories train on."""
-    weights = []
+    all folds but one give the log-odds that later categories train on, and
+    those of the last category its threshold."""
+    weights, threshold = [], THRESHOLD
     for c in range(labels.shape[1]):
         y = labels[:, c].astype(np.float64)
         weights.append(fit_logistic(x, y))
+        out = np.zeros(len(y))
+        for k in np.unique(folds):
+            inside = folds != k
+            out[~inside] = x.where(~inside).odds(fit_logistic(x.where(inside), y[inside]))
         if c + 1 < labels.shape[1]:
-            out = np.zeros(len(y))
-            for k in np.unique(folds):
-                inside = folds != k
-                out[~inside] = x.where(~inside).odds(fit_logistic(x.where(inside), y[inside]))
             x = x.plus(out)
-    return Chain(list(categories), features, weights)
+        elif y.any():
+            threshold = best_threshold(1 / (1 + np.exp(-out)), y)
+    return Chain(list(categories), features, weights, threshold)
 
 
 def _feature_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -258,9 +284,9 @@ def score_udf(chain: Chain):
     return score
 
 
-def score_toxicity(docs: DataFrame, chain: Chain, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+def score_toxicity(docs: DataFrame, chain: Chain, text_col: str = "text", threshold: float | None = None) -> DataFrame:
     """``docs`` with ``p_<category>`` and ``toxic`` (the last category's
-    probability reaches ``threshold``); columns of these names are replaced.
+    probability reaches ``threshold``, the chain's own unless given); columns of these names are replaced.
     Null and empty texts have no features and are judged by the bias alone;
     every row gets its own answer, so repeated rows agree."""
     new = [f"p_{c}" for c in chain.categories] + ["toxic"]
@@ -268,7 +294,7 @@ def score_toxicity(docs: DataFrame, chain: Chain, text_col: str = "text", thresh
     (p,) = fresh(keep + new, "p")
     scored = docs.select(*keep, score_udf(chain)(F.col(text_col)).alias(p))
     last = F.col(p)[f"p_{chain.categories[-1]}"]
-    return scored.select(*keep, *[F.col(p)[c].alias(c) for c in new[:-1]], (last >= threshold).alias("toxic"))
+    return scored.select(*keep, *[F.col(p)[c].alias(c) for c in new[:-1]], (last >= (chain.threshold if threshold is None else threshold)).alias("toxic"))
 
 
 def query(spark, sf_dir: str) -> DataFrame:
