@@ -1,15 +1,21 @@
-"""Removal of repeated runs of lines by content-defined chunks.
-
-A text's lines are hashed; a rolling hash over the last few line hashes
-decides after which lines a chunk ends, so boundaries follow the content and
-an inserted line shifts none but the nearest. A chunk of at least two lines
-that occurs again anywhere, in the same or in another document, stays only
-where it occurs first; equality is decided by comparing bytes, the hashes
-only find the candidates.
+"""Removal of repeated passages of two or more lines.
+
+Every adjacent pair of a text's lines is hashed (blank lines between them
+belong to the pair). A pair that occurs before, in the same or in another
+document, marks its two lines; all pairs of a repeated passage are marked, so
+it goes from its first to its last line, wherever it stands and however short
+it is. Every line stays where it occurs first. Equality is decided by
+comparing bytes, the hashes only find the candidates.
+
+``chunks`` cuts a text into content-defined chunks: a rolling hash over the
+last few line hashes decides after which lines one ends. Every chunk of two or
+more lines that are not blank consists of pairs, so the pairs find all that
+repeated chunks find.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,6 +36,9 @@ MIN_LINES = 2
 MAX_LINES = 16
 #: Repeated hashes up to this many are broadcast to the comparison (8 bytes each).
 BROADCAST_HASHES = 1_000_000
+#: Known pairs up to this many are broadcast with their first places (about 40 bytes each).
+BROADCAST_PLACES = 200_000
+_LINE = re.compile(rb"[^\n]+")
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -70,60 +79,87 @@ def chunks(text: bytes) -> list[bytes]:
     return out
 
 
-def _candidate(chunk: bytes) -> bool:
-    return b"\n" in chunk and not chunk.isspace()
+def units(text: bytes) -> list[tuple[int, int]]:
+    """Begin and end of the lines that are not blank."""
+    return [m.span() for m in _LINE.finditer(text) if not m.group().isspace()]
 
 
 def _occurrences(with_bytes: bool):
+    """The adjacent pairs of units: where they begin (number of the unit), or their bytes."""
+
     def occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
                 rows, idx, hashes, bodies = [], [], [], []
                 for r, text in enumerate(part.column(2).to_pylist()):
-                    for i, c in enumerate(chunks(text or b"")):
-                        if _candidate(c):
-                            rows.append(r)
-                            idx.append(i)
-                            hashes.append(xxhash.xxh64_intdigest(c))
-                            bodies.append(c)
+                    found = units(text or b"")
+                    for i, ((begin, _), (_, end)) in enumerate(zip(found, found[1:])):
+                        body = text[begin:end]
+                        rows.append(r)
+                        idx.append(i)
+                        hashes.append(xxhash.xxh64_intdigest(body))
+                        if with_bytes:
+                            bodies.append(body)
                 take = pa.array(rows, pa.int64())
                 found = pa.array(np.array(hashes, np.uint64).view(np.int64))
-                cols = [part.column(0).take(take), part.column(1).take(take), pa.array(idx, pa.int32()), found]
-                names = ["id", "rk", "idx", "hash"]
-                if with_bytes:
-                    cols, names = [found, pa.array(bodies, pa.binary())], ["hash", "body"]
+                cols, names = [found, pa.array(bodies, pa.binary())], ["hash", "body"]
+                if not with_bytes:
+                    cols = [part.column(0).take(take), part.column(1).take(take), pa.array(idx, pa.int32()), found]
+                    names = ["id", "rk", "idx", "hash"]
                 yield pa.RecordBatch.from_arrays(cols, names=names)
 
     return occurrences
 
 
-@F.pandas_udf(T.BinaryType())
-def _without(texts: pd.Series, dropped: pd.Series) -> pd.Series:
+def without_units(text: bytes, gone: set[int]) -> tuple[bytes, int]:
+    """The text without these units, and how many runs of them were cut."""
+    found = units(text)
+    out, kept, n = [], 0, 0
+    for i in sorted(gone):
+        if i - 1 in gone:
+            continue
+        last = i
+        while last + 1 in gone:
+            last += 1
+        begin, end = found[i][0], found[last][1]
+        if end < len(text):  # with one line end: the one behind, or that before the text's last lines
+            end += 1
+        elif begin > kept:
+            begin -= 1
+        out.append(text[kept:begin])
+        kept, n = end, n + 1
+    return b"".join([*out, text[kept:]]), n
+
+
+@F.pandas_udf(T.StructType([T.StructField("text", T.BinaryType()), T.StructField("n", T.IntegerType())]))
+def _without(texts: pd.Series, dropped: pd.Series) -> pd.DataFrame:
     def rest(text, drop):
-        drop = set(drop)
-        return b"\n".join(c for i, c in enumerate(chunks(text)) if i not in drop)
+        return without_units(text, {j for i in drop for j in (i, i + 1)})
 
-    return pd.Series([t if t is None or d is None else rest(t, d) for t, d in zip(texts, dropped)], dtype=object)
+    out = [(t, 0) if t is None or d is None else rest(t, d) for t, d in zip(texts, dropped)]
+    return pd.DataFrame(out, columns=["text", "n"], dtype=object)
 
 
 def drop_repeated_chunks(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """``docs`` with repeated multi-line chunks removed from ``text``, and
-    ``n_chunks_removed`` and ``all_removed`` (nothing is left of a text that
-    had some); columns of these two names are replaced.
+    """``docs`` with repeated passages of two or more lines removed from
+    ``text``, and ``n_chunks_removed`` (runs of lines cut out) and
+    ``all_removed`` (nothing is left of a text that had some); columns of
+    these two names are replaced.
 
     "First" is by id (null last), then by the hash of the text, then by
-    position. Rows equal in id and text are one document here: they keep and
-    lose the same chunks. Null texts stay null; blank runs of lines and single
-    lines are never removed. Two different chunks with one 64-bit hash are
-    told apart by their bytes, and both stay."""
+    position; a pair that overlaps its first place stays. Rows equal in id and
+    text are one document here: they keep and lose the same lines. Null texts
+    stay null; blank lines alone and single lines are never removed. Two
+    different pairs with one 64-bit hash are told apart by their bytes, and
+    both stay."""
     new = ["n_chunks_removed", "all_removed"]
     keep = [c for c in docs.columns if c.lower() not in new]
     rk, dropped = fresh(docs.columns + new, "rk", "dropped")
     id_is, rk_is = F.col(id_col).alias("id"), F.xxhash64(F.col(text)).alias("rk")
     slim = docs.select(id_is, rk_is, F.col(text).cast("binary").alias("body"))
     id_type = dict(docs.select(id_is).dtypes)["id"]
-    occ = stage(slim.mapInArrow(_occurrences(False), f"id {id_type}, rk long, idx int, hash long"), "chunks")
+    occ = stage(slim.mapInArrow(_occurrences(False), f"id {id_type}, rk long, idx int, hash long"), "pairs")
 
     place = F.struct(F.col("id").isNull().alias("no_id"), "id", "rk", "idx")
     repeated = stage(
@@ -141,8 +177,11 @@ def drop_repeated_chunks(docs: DataFrame, text: str = "text", id_col: str = "doc
         .select("hash")
     )
     known = stage(repeated.join(same, "hash", "left_semi"), "same")
+    if known.count() <= BROADCAST_PLACES:
+        known = F.broadcast(known)
+    here = F.col("id").eqNullSafe(F.col("first.id")) & (F.col("rk") == F.col("first.rk"))
     removed = stage(
-        occ.join(known, "hash").where(place != F.col("first"))
+        occ.join(known, "hash").where(~here | (F.col("idx") >= F.col("first.idx") + 2))
         .groupBy("id", "rk").agg(F.collect_list("idx").alias("idx")),
         "removed",
     )
@@ -150,12 +189,13 @@ def drop_repeated_chunks(docs: DataFrame, text: str = "text", id_col: str = "doc
     r = r.hint("merge")  # grows with the documents: the same join at every size
     marked = docs.select(*keep, F.xxhash64(F.col(text)).alias(rk))
     joined = marked.join(r, marked[id_col].eqNullSafe(r["id_"]) & (marked[rk] == r["rk_"]), "left")
-    rest = _without(F.when(F.col(dropped).isNotNull(), F.col(text).cast("binary")), F.col(dropped))  # others stay in Spark
-    left = F.when(F.col(dropped).isNull(), F.col(text)).otherwise(rest.cast("string"))
+    (rest,) = fresh([*docs.columns, *new, rk, dropped], "rest")
+    joined = joined.withColumn(rest, _without(F.when(F.col(dropped).isNotNull(), F.col(text).cast("binary")), F.col(dropped)))  # others stay in Spark
+    left = F.when(F.col(dropped).isNull(), F.col(text)).otherwise(F.col(rest)["text"].cast("string"))
     return joined.select(
         *[left.alias(c) if c == text else F.col(c) for c in keep],
-        F.when(F.col(dropped).isNull(), 0).otherwise(F.size(F.array_distinct(dropped))).alias("n_chunks_removed"),
-        (F.col(dropped).isNotNull() & (F.trim(left) == "")).alias("all_removed"),
+        F.when(F.col(dropped).isNull(), 0).otherwise(F.col(rest)["n"]).alias("n_chunks_removed"),
+        (F.col(dropped).isNotNull() & (F.btrim(left, F.lit(" \t\r\n")) == "")).alias("all_removed"),
     )
 
 
