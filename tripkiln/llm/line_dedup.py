@@ -4,7 +4,8 @@ Every adjacent pair of a text's lines is hashed (blank lines between them
 belong to the pair). A pair that occurs before, in the same or in another
 document, marks its two lines; all pairs of a repeated passage are marked, so
 it goes from its first to its last line, wherever it stands and however short
-it is. Every line stays where it occurs first. Equality is decided by
+it is. A line of over 50 words counts as its sentences, and a sentence of over
+50 words is marked by itself. Every line stays where it occurs first. Equality is decided by
 comparing bytes, the hashes only find the candidates.
 
 ``chunks`` cuts a text into content-defined chunks: a rolling hash over the
@@ -38,7 +39,9 @@ MAX_LINES = 16
 BROADCAST_HASHES = 1_000_000
 #: Known pairs up to this many are broadcast with their first places (about 40 bytes each).
 BROADCAST_PLACES = 200_000
-_LINE = re.compile(rb"[^\n]+")
+#: A line of more words is cut into sentences; a sentence of more words is a passage by itself.
+LONG_WORDS = 50
+_SENTENCE_GAP = re.compile(rb"(?<=[.!?])[ \t]+")
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -79,63 +82,83 @@ def chunks(text: bytes) -> list[bytes]:
     return out
 
 
+def line_units(line: bytes) -> list[tuple[int, int]]:
+    """Begin and end of a line's units: the line itself, or the sentences of
+    one of over ``LONG_WORDS`` words. A blank line has none."""
+    if not line or line.isspace():
+        return []
+    begin, out = 0, []
+    if len(line) > 2 * LONG_WORDS and len(line.split()) > LONG_WORDS:
+        for gap in _SENTENCE_GAP.finditer(line):
+            if not line[gap.end() :].strip():
+                break
+            out.append((begin, gap.start()))
+            begin = gap.end()
+    return [*out, (begin, len(line))]
+
+
 def units(text: bytes) -> list[tuple[int, int]]:
-    """Begin and end of the lines that are not blank."""
-    return [m.span() for m in _LINE.finditer(text) if not m.group().isspace()]
+    """Begin and end of a text's units."""
+    out, at = [], 0
+    for line in text.split(b"\n"):
+        out += [(at + begin, at + end) for begin, end in line_units(line)]
+        at += len(line) + 1
+    return out
 
 
 def _occurrences(with_bytes: bool):
-    """The adjacent pairs of units: where they begin (number of the unit), or their bytes."""
+    """The adjacent pairs of units, and single units of over ``LONG_WORDS``
+    words: where they are (numbers of the first and the last unit), or their bytes."""
 
     def occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                rows, idx, hashes, bodies = [], [], [], []
+                rows, first, last, hashes, bodies = [], [], [], [], []
                 for r, text in enumerate(part.column(2).to_pylist()):
                     found = units(text or b"")
-                    for i, ((begin, _), (_, end)) in enumerate(zip(found, found[1:])):
-                        body = text[begin:end]
-                        rows.append(r)
-                        idx.append(i)
-                        hashes.append(xxhash.xxh64_intdigest(body))
-                        if with_bytes:
-                            bodies.append(body)
+                    for i, (begin, end) in enumerate(found):
+                        alone = end - begin > 2 * LONG_WORDS and len(text[begin:end].split()) > LONG_WORDS
+                        for j in range(i if alone else i + 1, min(i + 2, len(found))):
+                            body = text[begin : found[j][1]]
+                            rows.append(r)
+                            first.append(i)
+                            last.append(j)
+                            hashes.append(xxhash.xxh64_intdigest(body))
+                            if with_bytes:
+                                bodies.append(body)
                 take = pa.array(rows, pa.int64())
                 found = pa.array(np.array(hashes, np.uint64).view(np.int64))
                 cols, names = [found, pa.array(bodies, pa.binary())], ["hash", "body"]
                 if not with_bytes:
-                    cols = [part.column(0).take(take), part.column(1).take(take), pa.array(idx, pa.int32()), found]
-                    names = ["id", "rk", "idx", "hash"]
+                    place = [pa.array(first, pa.int32()), pa.array(last, pa.int32())]
+                    cols, names = [part.column(0).take(take), part.column(1).take(take), *place, found], ["id", "rk", "idx", "last", "hash"]
                 yield pa.RecordBatch.from_arrays(cols, names=names)
 
     return occurrences
 
 
 def without_units(text: bytes, gone: set[int]) -> tuple[bytes, int]:
-    """The text without these units, and how many runs of them were cut."""
-    found = units(text)
-    out, kept, n = [], 0, 0
-    for i in sorted(gone):
-        if i - 1 in gone:
-            continue
-        last = i
-        while last + 1 in gone:
-            last += 1
-        begin, end = found[i][0], found[last][1]
-        if end < len(text):  # with one line end: the one behind, or that before the text's last lines
-            end += 1
-        elif begin > kept:
-            begin -= 1
-        out.append(text[kept:begin])
-        kept, n = end, n + 1
-    return b"".join([*out, text[kept:]]), n
+    """The text without these units and the blank lines between them, and how
+    many runs of units were cut."""
+    out, at = [], 0
+    for line in text.split(b"\n"):
+        spans = line_units(line)
+        kept = [k for k in range(len(spans)) if at + k not in gone]
+        if len(kept) == len(spans):
+            if spans or not {at - 1, at} <= gone:
+                out.append(line)
+        elif kept:  # sentences keep the space behind them, but for the last
+            ends = [spans[k + 1][0] for k in kept[:-1]] + [spans[kept[-1]][1]]
+            out.append(b"".join(line[spans[k][0] : end] for k, end in zip(kept, ends)))
+        at += len(spans)
+    return b"\n".join(out), sum(i - 1 not in gone for i in gone)
 
 
 @F.pandas_udf(T.StructType([T.StructField("text", T.BinaryType()), T.StructField("n", T.IntegerType())]))
 def _without(texts: pd.Series, dropped: pd.Series) -> pd.DataFrame:
     def rest(text, drop):
-        return without_units(text, {j for i in drop for j in (i, i + 1)})
+        return without_units(text, set(drop))
 
     out = [(t, 0) if t is None or d is None else rest(t, d) for t, d in zip(texts, dropped)]
     return pd.DataFrame(out, columns=["text", "n"], dtype=object)
@@ -150,8 +173,8 @@ def drop_repeated_chunks(docs: DataFrame, text: str = "text", id_col: str = "doc
     "First" is by id (null last), then by the hash of the text, then by
     position; a pair that overlaps its first place stays. Rows equal in id and
     text are one document here: they keep and lose the same lines. Null texts
-    stay null; blank lines alone and single lines are never removed. Two
-    different pairs with one 64-bit hash are told apart by their bytes, and
+    stay null; blank lines alone and single lines of up to
+    ``LONG_WORDS`` words are never removed. Two different pairs with one 64-bit hash are told apart by their bytes, and
     both stay."""
     new = ["n_chunks_removed", "all_removed"]
     keep = [c for c in docs.columns if c.lower() not in new]
@@ -159,9 +182,9 @@ def drop_repeated_chunks(docs: DataFrame, text: str = "text", id_col: str = "doc
     id_is, rk_is = F.col(id_col).alias("id"), F.xxhash64(F.col(text)).alias("rk")
     slim = docs.select(id_is, rk_is, F.col(text).cast("binary").alias("body"))
     id_type = dict(docs.select(id_is).dtypes)["id"]
-    occ = stage(slim.mapInArrow(_occurrences(False), f"id {id_type}, rk long, idx int, hash long"), "pairs")
+    occ = stage(slim.mapInArrow(_occurrences(False), f"id {id_type}, rk long, idx int, last int, hash long"), "pairs")
 
-    place = F.struct(F.col("id").isNull().alias("no_id"), "id", "rk", "idx")
+    place = F.struct(F.col("id").isNull().alias("no_id"), "id", "rk", "idx", "last")
     repeated = stage(
         occ.groupBy("hash").agg(F.count("*").alias("n"), F.min(place).alias("first")).where("n > 1").drop("n"), "repeated"
     )
@@ -181,8 +204,8 @@ def drop_repeated_chunks(docs: DataFrame, text: str = "text", id_col: str = "doc
         known = F.broadcast(known)
     here = F.col("id").eqNullSafe(F.col("first.id")) & (F.col("rk") == F.col("first.rk"))
     removed = stage(
-        occ.join(known, "hash").where(~here | (F.col("idx") >= F.col("first.idx") + 2))
-        .groupBy("id", "rk").agg(F.collect_list("idx").alias("idx")),
+        occ.join(known, "hash").where(~here | (F.col("idx") > F.col("first.last")))
+        .groupBy("id", "rk").agg(F.flatten(F.collect_list(F.sequence("idx", "last"))).alias("idx")),
         "removed",
     )
     r = removed.select(F.col("id").alias("id_"), F.col("rk").alias("rk_"), F.col("idx").alias(dropped))
