@@ -1,9 +1,10 @@
 """Ordinal encoding of text columns, without the labels on the driver.
 
 Labels are ordered by frequency (most frequent = 0), ties alphabetically. The
-distinct labels are counted and grouped by (count, first characters); a
-label's index is its place in its group plus the sizes of the groups before
-it, so neither the driver nor one task holds a column's labels.
+distinct labels are counted and dealt out by ranges of (count descending,
+label); a label's index is its place in its partition plus the sizes of the
+partitions before it, so neither the driver nor one task holds a column's
+labels, also if all share a count or a beginning.
 """
 
 from __future__ import annotations
@@ -13,23 +14,23 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tripkiln import config as C
+from tripkiln.sources.staging import stage
 
 _LABEL, _COUNT, _PART, _PLACE, _BASE = "__tk_label", "__tk_count", "__tk_part", "__tk_place", "__tk_base"
-#: First characters that split labels of one count.
-GROUP_CHARACTERS = 6
 
 
 def label_indices(df: DataFrame, column: str, index: str) -> DataFrame:
     """``(label, index)`` of every non-null label of ``column``."""
     counts = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias(_LABEL)).agg(F.count(F.lit(1)).alias(_COUNT))
-    # rare labels share a count: their first characters split them, in label order
-    part = F.struct(-F.col(_COUNT), F.substring(_LABEL, 1, GROUP_CHARACTERS))
-    keyed = counts.withColumn(_PART, part)
-    sizes = keyed.groupBy(_PART).agg(F.count(F.lit(1)).alias(_BASE))
-    before = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
+    # by ranges of the index order: also labels of one count, and with one beginning, are spread
+    ranged = counts.repartitionByRange(F.desc(_COUNT), F.asc(_LABEL))
+    # staged: the ranges are drawn from a sample and must be the same for places and sums
+    parts = stage(ranged.withColumn(_PART, F.spark_partition_id()), "labels")
+    sizes = parts.groupBy(_PART).agg(F.count(F.lit(1)).alias(_BASE))
+    before = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)  # one row a partition
     bases = sizes.withColumn(_BASE, F.coalesce(F.sum(_BASE).over(before), F.lit(0)))
-    place = F.row_number().over(Window.partitionBy(_PART).orderBy(_LABEL)) - 1
-    return keyed.withColumn(_PLACE, place).join(bases, _PART).select(
+    place = F.row_number().over(Window.partitionBy(_PART).orderBy(F.desc(_COUNT), _LABEL)) - 1
+    return parts.withColumn(_PLACE, place).join(F.broadcast(bases), _PART).select(
         _LABEL, (F.col(_BASE) + F.col(_PLACE)).cast("double").alias(index)
     )
 
