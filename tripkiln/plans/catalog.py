@@ -241,16 +241,29 @@ def q_csv_sinks(spark, sf):
     return read(True, "with").union(read(False, "without"))
 
 
-def q_parquet_sinks(spark, sf):
-    """Two appends to a folder, one of them through the fan-out, partitioned by batch."""
+def _sink_tables(spark, sf):
+    """A folder filled by two appends, partitioned by batch, and a folder
+    filled by two appends through the fan-out."""
     base, rows = _base(spark), _sink_rows(spark, sf)
-    write_parquet(rows.where("batch_no < 3"), f"{base}/t", partition_by=["batch_no"])
-    write_parquet(rows.where("batch_no >= 3"), f"{base}/t", partition_by=["batch_no"])
-    write_fanout(rows, [("parquet", f"{base}/copy", "append")])
-    both = spark.read.parquet(f"{base}/t").select(rows.columns)
-    return both.withColumn("batch_no", F.col("batch_no").cast("long")).exceptAll(
-        spark.read.parquet(f"{base}/copy").where("batch_no = 4")
-    )
+    for part in (rows.where("batch_no < 3"), rows.where("batch_no >= 3")):
+        write_parquet(part, f"{base}/t", partition_by=["batch_no"])
+        write_fanout(part, [("parquet", f"{base}/copy", "append")])
+    # a partition column comes back as an integer
+    both = spark.read.parquet(f"{base}/t").withColumn("batch_no", F.col("batch_no").cast("long"))
+    return both.select(rows.columns), spark.read.parquet(f"{base}/copy")
+
+
+def q_parquet_sinks(spark, sf):
+    """The partitioned table less batch 4 of the fan-out's table; all rows of
+    both tables are in ``parquet_sink_tables``."""
+    both, copy = _sink_tables(spark, sf)
+    return both.exceptAll(copy.where("batch_no = 4"))
+
+
+def q_parquet_sink_tables(spark, sf):
+    """All rows of both written tables, with the table's name."""
+    both, copy = _sink_tables(spark, sf)
+    return both.withColumn("written", F.lit("partitioned")).unionByName(copy.withColumn("written", F.lit("fanout")))
 
 
 def q_observed_rows(spark, sf):
@@ -412,6 +425,7 @@ QUERIES: dict[str, Query] = {
     "csv_source": q_csv_source,
     "csv_sinks": q_csv_sinks,
     "parquet_sinks": q_parquet_sinks,
+    "parquet_sink_tables": q_parquet_sink_tables,
     "observed_rows": q_observed_rows,
     "row_id": q_row_id,
     "compute_columns": q_compute_columns,
@@ -683,6 +697,9 @@ ORACLES: dict[str, str] = {
     + "select * replace (nullif(DOLocationID, '') as DOLocationID) from raw",
     "csv_sinks": _with(_TRIPS) + f"select {_K}, trip_distance, passenger_email, batch_no from trips",
     "parquet_sinks": _with(_TRIPS) + f"select {_K}, trip_distance, passenger_email, batch_no from trips where batch_no <> 4",
+    "parquet_sink_tables": _with(_TRIPS)
+    + f"""select {_K}, trip_distance, passenger_email, batch_no, written
+      from trips, (values ('partitioned'), ('fanout')) as tables(written)""",
     "observed_rows": _with(_TRIPS) + "select count(*) as n_rows from trips",
     "row_id": _with(_TRIPS)
     + f"select l_linenumber, count(distinct ({_K})) as n_ids from trips group by 1",
