@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripkiln.llm import ann, covertree, hard_negatives, line_dedup, mixing, packing, periods, sharding, simhash, token_files, toxicity, url_filters
+from tripkiln.llm import ann, covertree, hard_negatives, line_dedup, mixing, packing, periods, pii, sharding, simhash, token_files, toxicity, url_filters
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": toxicity.query,
@@ -20,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash": simhash.query,
     "op9_cover_tree": covertree.query,
     "op10_token_files": token_files.query,
+    "op11_pii": pii.query,
     "op12_hard_negatives": hard_negatives.query,
     "op13_periods": periods.query,
 }
