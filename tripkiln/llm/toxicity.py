@@ -7,7 +7,8 @@ probabilities as good as it will get them, not from fitted ones.
 
 Features are whole words, word beginnings, and beginnings that several words
 of the text share, chosen by a chi-squared test. The fit reads a bounded sample of labelled rows
-(``TRAIN_ROWS``); the scoring reads every whole text once, with no shuffle.
+(``TRAIN_ROWS``), whose rows weigh as much as the labelled rows they stand for;
+the scoring reads every whole text once, with no shuffle.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from pyspark.sql import types as T
 
 from tripkiln.llm.common import fresh, stage, table
 
-#: Labelled rows that the fit reads at most, a quarter of them toxic if there are as many.
+#: Labelled rows that the fit reads at most, a quarter of them toxic if there are as many; they weigh as the rows they are drawn from.
 TRAIN_ROWS = 24_000
 N_FEATURES = 1024
 #: Texts whose features are counted together before they leave a task.
@@ -42,8 +43,10 @@ PRECISION = 0.95
 PREFIXES = (4, 5)
 #: Words of a document beyond which a mark in so many makes a toxic text a dense one.
 DENSE_WORDS = 60
-#: English words that insult persons, by which the labelled toxic texts are sorted into the first category.
-INSULTS = ("clown", "fool", "idiot", "loser", "moron", "scum")
+#: A word is an insult if it stands in toxic texts nearly alone and in this share of them.
+INSULT_SHARE = 0.02
+#: Share of toxic texts among those with a mark.
+MARK_PRECISION = 0.9
 CATEGORIES = ("insult", "dense", "toxic")
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -111,27 +114,29 @@ class Chain:
         return 1 / (1 + np.exp(-np.array(odds).reshape(len(self.weights), len(rows)).T))
 
 
-def fit_logistic(x: Rows, y: np.ndarray, l2: float = L2, steps: int = STEPS) -> np.ndarray:
+def fit_logistic(x: Rows, y: np.ndarray, l2: float = L2, steps: int = STEPS, weight: np.ndarray | None = None) -> np.ndarray:
     """Weights (bias last) of a ridge logistic regression by accelerated
-    gradient steps. One class only: the bias says so, all weights are 0."""
+    gradient steps; ``weight``: how many rows each row stands for. One class
+    only: the bias says so, all weights are 0."""
     d = x.d + x.dense.shape[1]
     if not x.n or y.min() == y.max():
         w = np.zeros(d + 1)
         w[-1] = 8.0 if x.n and y.any() else -8.0
         return w
+    weight = np.ones(x.n) if weight is None else weight * (x.n / weight.sum())
     # rare features count as much as common ones: columns are scaled to equal power
-    power = np.append(np.bincount(x.flat, minlength=x.d), (x.dense**2).sum(axis=0)) / x.n
+    power = np.append(np.bincount(x.flat, weights=weight[x.owner], minlength=x.d), weight @ x.dense**2) / x.n
     scale = 1 / np.sqrt(power + 1 / x.n)
     v = np.ones(d)
     for _ in range(8):  # the largest curvature, for the step length
-        v = scale * x.gathered(x.times(scale * v))
+        v = scale * x.gathered(weight * x.times(scale * v))
         v /= max(np.linalg.norm(v), 1e-12)
-    step = 1 / (0.25 * (float(np.linalg.norm(x.times(scale * v)) ** 2) / x.n + 1) + l2)
+    step = 1 / (0.25 * (float(weight @ x.times(scale * v) ** 2) / x.n + 1) + l2)
     scale = np.append(scale, 1.0)
     w = at = np.zeros(d + 1)
     t = 1.0
     for _ in range(steps):
-        miss = 1 / (1 + np.exp(-x.odds(scale * at))) - y
+        miss = weight * (1 / (1 + np.exp(-x.odds(scale * at))) - y)
         g = scale * np.append(x.gathered(miss) / x.n, miss.mean())
         g[:-1] += l2 * at[:-1]
         after, t_after = at - step * g, (1 + np.sqrt(1 + 4 * t * t)) / 2
@@ -140,16 +145,17 @@ def fit_logistic(x: Rows, y: np.ndarray, l2: float = L2, steps: int = STEPS) ->
     return scale * w
 
 
-def best_threshold(p: np.ndarray, y: np.ndarray) -> float:
+def best_threshold(p: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None) -> float:
     """The probability between two rows that separates the classes with the
     largest F score (beta 0.5: losing a clean row weighs more) at a precision
-    of ``PRECISION`` or more; ``THRESHOLD`` where the rows are too few to tell
-    or nothing separates them so well."""
+    of ``PRECISION`` or more, each row counting for ``weight`` rows;
+    ``THRESHOLD`` where the rows are too few to tell or nothing separates them
+    so well."""
     if y.sum() < TELLING_ROWS:
         return THRESHOLD
     order = np.argsort(-p, kind="stable")
-    p, hits = p[order], np.cumsum(y[order])
-    taken = np.arange(1, len(p) + 1)
+    taken = np.arange(1.0, len(p) + 1) if weight is None else np.cumsum(weight[order])
+    p, hits = p[order], np.cumsum(y[order] if weight is None else (y * weight)[order])
     apart = np.append(p[:-1] > p[1:], True)  # equal probabilities stay together
     score = np.where(apart & (hits >= PRECISION * taken), 1.25 * hits / (taken + 0.25 * hits[-1]), 0)
     k = int(np.argmax(score))
@@ -159,22 +165,25 @@ def best_threshold(p: np.ndarray, y: np.ndarray) -> float:
     return float(np.clip((p[k] + after) / 2, 0.02, 0.98))
 
 
-def fit_chain(x: Rows, labels: np.ndarray, folds: np.ndarray, categories: Sequence[str], features: list[str]) -> Chain:
+def fit_chain(
+    x: Rows, labels: np.ndarray, folds: np.ndarray, categories: Sequence[str], features: list[str], weight: np.ndarray | None = None
+) -> Chain:
     """Category by category: the model over all rows is kept, the models over
     all folds but one give the log-odds that later categories train on, and
     those of the last category its threshold."""
     weights, threshold = [], THRESHOLD
     for c in range(labels.shape[1]):
         y = labels[:, c].astype(np.float64)
-        weights.append(fit_logistic(x, y))
+        weights.append(fit_logistic(x, y, weight=weight))
         out = np.zeros(len(y))
         for k in np.unique(folds):
             inside = folds != k
-            out[~inside] = x.where(~inside).odds(fit_logistic(x.where(inside), y[inside]))
+            part = None if weight is None else weight[inside]
+            out[~inside] = x.where(~inside).odds(fit_logistic(x.where(inside), y[inside], weight=part))
         if c + 1 < labels.shape[1]:
             x = x.plus(out)
         elif y.any():
-            threshold = best_threshold(1 / (1 + np.exp(-out)), y)
+            threshold = best_threshold(1 / (1 + np.exp(-out)), y, weight)
     return Chain(list(categories), features, weights, threshold)
 
 
@@ -193,22 +202,22 @@ def _feature_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), *counts], names=["feature", "n", "pos"])
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, rows: int, id_col: str, text_col: str) -> DataFrame:
+def training_rows(docs: DataFrame, labels: DataFrame, rows: int, id_col: str, text_col: str) -> tuple[DataFrame, dict[bool, float]]:
     """At most ``rows`` labelled texts ``(id, text, y)``, up to a quarter of
-    them toxic, by a hash of the
-    id. Ids that repeat in ``labels`` with different labels count as toxic if
-    any does; null labels and ids are left out."""
+    them toxic, by a hash of the id, and for how many labelled rows a toxic
+    and a clean one of them stand. Ids that repeat in ``labels`` with different
+    labels count as toxic if any does; null labels and ids are left out."""
     one = labels.where(F.col("y").isNotNull() & F.col("id").isNotNull()).groupBy("id").agg(
         *[F.max(c).alias(c) for c in labels.columns if c != "id"]
     )
     order = F.xxhash64(F.lit(1), "id")
-    picked = one.where("y > 0").orderBy(order, "id").limit(rows // 4).unionByName(
-        one.where("y <= 0").orderBy(order, "id").limit(rows - rows // 4)
-    )
+    most = {True: rows // 4, False: rows - rows // 4}
+    picked = one.where("y > 0").orderBy(order, "id").limit(most[True]).unionByName(one.where("y <= 0").orderBy(order, "id").limit(most[False]))
+    stands_for = {r["toxic"]: max(1.0, r["n"] / max(1, most[r["toxic"]])) for r in one.groupBy((F.col("y") > 0).alias("toxic")).agg(F.count("*").alias("n")).collect()}
     picked = stage(picked, "picked")  # bounded by rows: broadcast
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     # a repeated document counts once
-    return stage(texts.join(F.broadcast(picked), "id").dropDuplicates(["id"]), "train")
+    return stage(texts.join(F.broadcast(picked), "id").dropDuplicates(["id"]), "train"), stands_for
 
 
 def fit_toxicity(
@@ -218,11 +227,14 @@ def fit_toxicity(
     """Fit the chain on ``labels(id_col, label)`` (0/1) of ``docs``.
 
     The label says toxic or not; the two categories before it are read off
-    the labelled texts: ``insult`` (toxic, with a word of ``INSULTS``) and
-    ``dense`` (toxic, with more than one chosen toxic mark in ``DENSE_WORDS``
-    words). Without a labelled text of both classes nothing is toxic."""
+    the labelled texts, whatever their language. Marks are chosen features that
+    are found in toxic texts nearly alone (``MARK_PRECISION``); ``insult``: toxic,
+    with a whole word that is a mark and stands in ``INSULT_SHARE`` of the toxic
+    texts (two at least); ``dense``: toxic, with more than one mark in
+    ``DENSE_WORDS`` words. Without a labelled text of both classes nothing is
+    toxic."""
     slim = labels.select(F.col(id_col).alias("id"), F.col(label).cast("int").alias("y"))
-    train = training_rows(docs, slim, train_rows, id_col, text_col)
+    train, stands_for = training_rows(docs, slim, train_rows, id_col, text_col)
     sizes = {int(r["y"] > 0): r["n"] for r in train.groupBy((F.col("y") > 0).cast("int").alias("y")).agg(F.count("*").alias("n")).collect()}
     n_pos, n_neg = sizes.get(1, 0), sizes.get(0, 0)
     if not n_pos or not n_neg:
@@ -237,7 +249,9 @@ def fit_toxicity(
     top = counts.where("n >= 2").withColumn("chi2", chi2).orderBy(F.desc("chi2"), "feature").limit(n_features).collect()
     features = sorted(r["feature"] for r in top)
     number = {f: i for i, f in enumerate(features)}
-    marked = {r["feature"] for r in top if r["pos"] > 0.9 * r["n"]}
+    share = stands_for[True] / stands_for[False]
+    marked = {r["feature"] for r in top if r["pos"] * share > MARK_PRECISION * (r["pos"] * share + r["n"] - r["pos"])}
+    insults = {r["feature"] for r in top if r["feature"] in marked and r["feature"][0] != "^" and r["pos"] >= max(2, INSULT_SHARE * n_pos)}
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -246,7 +260,7 @@ def fit_toxicity(
             for text, y in zip(batch.column(1), toxic):  # one text's features at a time
                 found = text_features(text.as_py())
                 rows.append(sorted(number[f] for f in found if f in number))
-                insult.append(y and not found.isdisjoint(INSULTS))
+                insult.append(y and not found.isdisjoint(insults))
                 dense.append(y and len(marked & found) * DENSE_WORDS > len(_WORD.findall(text.as_py() or "")))
             columns = [batch.column(0), pa.array(rows, pa.list_(pa.int32())), *map(pa.array, (insult, dense, toxic))]
             yield pa.RecordBatch.from_arrays(columns, names=["id", "features", *CATEGORIES])
@@ -258,7 +272,8 @@ def fit_toxicity(
     got = sample.withColumn("fold", F.pmod(F.xxhash64(F.lit(2), "id"), F.lit(FOLDS))).orderBy("id").collect()
     x = Rows([r["features"] for r in got], len(features))
     y = np.array([[r[c] for c in CATEGORIES] for r in got], bool)
-    return fit_chain(x, y, np.array([r["fold"] for r in got]), CATEGORIES, features)
+    weight = np.where(y[:, -1], stands_for[True], stands_for[False])
+    return fit_chain(x, y, np.array([r["fold"] for r in got]), CATEGORIES, features, weight)
 
 
 def score_udf(chain: Chain):
