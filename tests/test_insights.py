@@ -1,0 +1,92 @@
+import datetime as dt
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.conftest import SF_SMALL, rows
+from tripkiln.operators import insights as I
+from tripkiln.plans import catalog
+
+
+def test_weekday_and_season(spark):
+    days = [dt.datetime(2024, 1, 1) + dt.timedelta(days=9 * k, hours=k % 24) for k in range(41)]
+    df = spark.createDataFrame([(d,) for d in days] + [(None,)], "pickup_datetime timestamp_ntz")
+    seasons = {12: "Winter", 1: "Winter", 2: "Winter", 3: "Spring", 4: "Spring", 5: "Spring", 6: "Summer", 7: "Summer", 8: "Summer"}
+    got = rows(df.transform(I.pickup_weekday).transform(I.season))
+    assert got[:-1] == [(d, d.isoweekday(), d.strftime("%a"), seasons.get(d.month, "Autumn")) for d in days]
+    assert got[-1] == (None,) * 4
+
+
+def test_net_fare_and_airports(spark):
+    df = spark.createDataFrame(
+        [(20.0, 1.25, 0.3, 2.5, 1, 5), (20.0, None, None, None, 5, 138), (None, 1.0, 1.0, 1.0, 5, 6), (10.005, 0.0, 0.0, 0.0, None, 132), (1.0, 0.0, 0.0, 0.0, None, 5)],
+        "fare_amount double, tolls_amount double, improvement_surcharge double, congestion_surcharge double, PULocationID int, DOLocationID int",
+    )
+    out = df.transform(I.net_fare).transform(I.is_airport_trip)
+    assert rows(out, "net_fare", "is_airport_trip") == [(15.95, True), (20.0, True), (None, False), (10.01, True), (1.0, None)]
+    assert rows(I.is_airport_trip(df, (5,)), "is_airport_trip") == [(True,), (True,), (True,), (None,), (True,)]
+
+
+def test_weather(spark):
+    df = spark.createDataFrame(
+        [(80.0, "Heavy Rain", 10.25, 12.0), (80.1, "clear", None, 1.0), (None, None, 3.0, 1.0), (95.0, "THUNDERSTORM", -1.0, -3.5)],
+        "humidity double, weather_description string, temperature double, feels_like double",
+    )
+    got = rows(I.weather_flags(df), "is_high_humidity", "is_extreme_weather", "feels_like_difference")
+    assert got == [(False, True, 1.8), (True, False, None), (None, None, -2.0), (True, True, -2.5)]
+
+
+def test_passenger_category_and_experienced_driver(spark):
+    ages = [(None, "Doctor"), (17, "Doctor"), (18, "doctor"), (29, "Baker"), (30, "ENGINEER"), (59, None), (60, "Lawyer")]
+    df = spark.createDataFrame(ages, "passenger_age int, passenger_Job string")
+    assert [r[0] for r in rows(I.passenger_category(df), "passenger_category")] == [
+        None, "Minor", "Young Professional", "Young", "Adult Professional", "Adult", "Senior",
+    ]
+    df = spark.createDataFrame([(99,), (100,), (None,)], "driver_experience_level long")
+    assert [r[0] for r in rows(I.experienced_driver(df), "experienced_driver")] == [False, True, None]
+
+
+def test_zones_do_not_multiply_trips(spark):
+    trips = spark.createDataFrame([(1, 2, "a"), (1, 2, "a"), (3, None, "b"), (9, 1, "c")], "PULocationID int, DOLocationID int, t string")
+    zones = spark.createDataFrame([(1, "X", "x1"), (1, "X", "x0"), (2, None, "y"), (3, "Z", "z"), (None, "N", "n")], "LocationID int, Borough string, Zone string")
+    out = I.attach_zones(trips, zones)
+    assert out.columns == [*trips.columns, "pickup_borough", "pickup_zone", "dropoff_borough", "dropoff_zone"]
+    assert sorted(rows(out, "t", "pickup_zone", "dropoff_zone"), key=str) == [("a", "x0", "y"), ("a", "x0", "y"), ("b", "z", None), ("c", None, "x0")]
+    assert I.attach_zones(trips, zones.limit(0)).count() == 4
+
+
+@pytest.mark.parametrize("cell", [0.3, 1.0, 7.0])
+def test_neighborhoods_against_all_boxes(spark, cell):
+    rng = random.Random(int(cell * 10))
+    boxes = []
+    for k in range(40):
+        a, b = rng.uniform(-5, 5), rng.uniform(-5, 5)
+        boxes.append((f"area {k:02}", a, a + rng.uniform(0.01, 3), b, b + rng.uniform(0.01, 3)))
+    boxes += [("edge", 0.0, 1.0, 0.0, 1.0), ("empty", 1.0, 1.0, 0.0, 1.0), (None, -9.0, 9.0, -9.0, 9.0), ("edge", 0.0, 1.0, 0.0, 1.0)]
+    points = [(rng.uniform(-6, 9), rng.uniform(-6, 9)) for _ in range(300)] + [(0.0, 0.0), (1.0, 0.5), (0.5, 1.0), (None, 1.0), (1.0, None)]
+    areas = spark.createDataFrame(boxes, "name string, lat_min double, lat_max double, lon_min double, lon_max double")
+    df = spark.createDataFrame([(i, *p) for i, p in enumerate(points)], "i int, lat double, lon double")
+    got = dict(rows(I.attach_neighborhoods(df, areas, {"place": ("lat", "lon")}, cell), "i", "place"))
+
+    def want(lat, lon):
+        if lat is None or lon is None:
+            return None
+        return min((n for n, a, b, c, d in boxes if n and a <= lat < b and c <= lon < d), default=None)
+
+    assert got == {i: want(*p) for i, p in enumerate(points)}
+
+
+def test_insights_are_one_projection(spark):
+    t = catalog._renamed_trips(spark, SF_SMALL).limit(0)
+    plan = I.add_insights(t)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == t._jdf.queryExecution().executedPlan().toString().count("Exchange")
+
+
+@pytest.mark.parametrize("name, column", [
+    ("airport_trips", "is_airport_trip"), ("weather_flags", "is_extreme_weather"), ("weather_flags", "is_high_humidity"), ("passenger_category", "passenger_category"),
+    ("zone_names", "pickup_zone"), ("neighborhoods", "dropoff_neighborhood"), ("pickup_calendar", "season"),
+    ("outlier_trips", "fare_amount_outlier"), ("outlier_trips", "humidity_outlier"),
+])
+def test_queries_tell_rows_apart(spark, name, column):
+    assert catalog.QUERIES[name](spark, SF_SMALL).select(F.col(column)).distinct().count() > 1

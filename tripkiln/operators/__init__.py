@@ -19,8 +19,10 @@ from tripkiln.operators.cleanse import (  # noqa: F401
 )
 from tripkiln.operators.features import add_row_features  # noqa: F401
 from tripkiln.operators.impute import impute, impute_mean, impute_mode  # noqa: F401
+from tripkiln.operators.insights import add_insights, attach_neighborhoods, attach_zones  # noqa: F401
 from tripkiln.operators.privacy import (  # noqa: F401
     mask_full_columns,
     mask_partial_columns,
     split_names,
 )
+from tripkiln.operators.quality import drop_outliers, drop_repeated, flag_outliers, outlier_bounds  # noqa: F401

@@ -24,7 +24,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from tripkiln.config import SilverConfig
 from tripkiln.functions.columns import parse_timestamp
 from tripkiln.operators import aggregates as A
-from tripkiln.operators import cleanse, features, privacy
+from tripkiln.operators import cleanse, features, insights, privacy, quality
 from tripkiln.operators.encode import encode_ordinal
 from tripkiln.operators.impute import impute_mean, impute_mode
 from tripkiln.plans.gold import gold
@@ -310,6 +310,90 @@ def q_encode_wide(spark, sf):
     return _keys_and(encode_ordinal(t, ("label",)), "label", "label_index")
 
 
+# -- further features and data quality --
+
+#: Professional jobs, extreme words and the experienced driver's trips of the queries (the fixture names its jobs and weather by number).
+_JOBS, _EXTREME, _EXPERIENCED = ("job 3", "job 7", "job 11"), ("weather 4", "weather 5"), 60
+#: Overlapping boxes over the fixture's coordinates, 5 by 5.
+_BOXES = {
+    "lat_min": "38 + (n_nationkey % 5) * cast(1.875 as double)",
+    "lon_min": "-80.5 + floor(n_nationkey / 5) * cast(1.875 as double)",
+}
+_CELL = 0.5
+
+
+def q_pickup_calendar(spark, sf):
+    t = _renamed_trips(spark, sf).transform(insights.pickup_weekday).transform(insights.season)
+    return _keys_and(t, "pickup_datetime", "pickup_weekday", "pickup_weekday_name", "season")
+
+
+def q_net_fare(spark, sf):
+    return _keys_and(insights.net_fare(trips(spark, sf)), "fare_amount", "net_fare")
+
+
+def q_airport_trips(spark, sf):
+    """Places are unknown (null) where the raw id is not a number."""
+    t = cleanse.cast_columns(raw_trips(spark, sf), CAST_SPEC).transform(insights.is_airport_trip)
+    return _keys_and(t, "PULocationID", "DOLocationID", "is_airport_trip")
+
+
+def q_weather_flags(spark, sf):
+    t = insights.weather_flags(trips(spark, sf), extreme=_EXTREME)
+    return _keys_and(t, "humidity", "is_high_humidity", "is_extreme_weather", "feels_like_difference")
+
+
+def q_passenger_category(spark, sf):
+    t = insights.passenger_category(trips(spark, sf), professional=_JOBS)
+    return _keys_and(t, "passenger_age", "passenger_Job", "passenger_category")
+
+
+def q_experienced_driver(spark, sf):
+    t = insights.experienced_driver(A.driver_experience_level(trips(spark, sf)), _EXPERIENCED)
+    return _keys_and(t, "driver_email", "driver_experience_level", "experienced_driver")
+
+
+def q_zone_names(spark, sf):
+    """Nations as zones of their regions: half of the location ids have one, one id has two."""
+    nation, region = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("nation", "region"))
+    zones = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
+        F.when(F.col("n_nationkey") == 24, 7).otherwise(F.col("n_nationkey")).cast("int").alias("LocationID"),
+        F.col("r_name").alias("Borough"), F.col("n_name").alias("Zone"),
+    )
+    t = insights.attach_zones(trips(spark, sf), zones)
+    return _keys_and(t, "PULocationID", "DOLocationID", "pickup_borough", "pickup_zone", "dropoff_borough", "dropoff_zone")
+
+
+def q_neighborhoods(spark, sf):
+    """Boxes named after nations, some over each other."""
+    low = spark.read.parquet(f"{sf}/nation.parquet").select(F.col("n_name").alias("name"), *[F.expr(e).alias(c) for c, e in _BOXES.items()])
+    areas = low.select("name", "lat_min", (F.col("lat_min") + 2).alias("lat_max"), "lon_min", (F.col("lon_min") + 2).alias("lon_max"))
+    t = insights.attach_neighborhoods(trips(spark, sf), areas, cell=_CELL)
+    return _keys_and(t, "pickup_neighborhood", "dropoff_neighborhood")
+
+
+def q_repeated_trips(spark, sf):
+    """One trip a line item's key, which is not unique."""
+    t = _keys_and(trips(spark, sf), "trip_distance", "total_amount", "passenger_email")
+    return quality.drop_repeated(t, ["l_orderkey", "l_linenumber"], ["l_partkey", "l_suppkey"])
+
+
+_MEASURED = ["trip_distance", "fare_amount", "tip_amount", "humidity", "passenger_age"]
+
+
+def q_outlier_bounds(spark, sf):
+    return quality.outlier_bounds(trips(spark, sf), _MEASURED, fence=0.5)
+
+
+def q_outlier_trips(spark, sf):
+    t = quality.flag_outliers(trips(spark, sf), _MEASURED, fence=0.5)
+    return _keys_and(t, *[f"{c}_outlier" for c in _MEASURED])
+
+
+def q_plain_trips(spark, sf):
+    """Trips without an outlier."""
+    return _keys_and(quality.drop_outliers(trips(spark, sf), _MEASURED, fence=0.5), *_MEASURED)
+
+
 def _silver_in(spark, base: str, raw: DataFrame, folder: str, at: _dt.datetime = BATCH_TIME):
     return run_silver(spark, folder, f"{base}/silver", batch_time=at, schema=_file_schema(raw))
 
@@ -431,6 +515,18 @@ QUERIES: dict[str, Query] = {
     "compute_columns": q_compute_columns,
     "busiest_areas": q_busiest_areas,
     "parse_format": q_parse_format,
+    "pickup_calendar": q_pickup_calendar,
+    "net_fare": q_net_fare,
+    "airport_trips": q_airport_trips,
+    "weather_flags": q_weather_flags,
+    "passenger_category": q_passenger_category,
+    "experienced_driver": q_experienced_driver,
+    "zone_names": q_zone_names,
+    "neighborhoods": q_neighborhoods,
+    "repeated_trips": q_repeated_trips,
+    "outlier_bounds": q_outlier_bounds,
+    "outlier_trips": q_outlier_trips,
+    "plain_trips": q_plain_trips,
     "silver_rerun": q_silver_rerun,
     "gold_late_batch": q_gold_late_batch,
     "gold_catalog_table": q_gold_catalog_table,
@@ -606,6 +702,43 @@ _RENAMED = (
 )
 _DUR_R = f"({_secs('dropoff_datetime')} - {_secs('pickup_datetime')}) / 60"
 
+# ranks by running counts: the least value that a quarter of the values do not exceed
+_BOUNDS = (
+    (
+        "pairs",
+        " union all ".join(f"select '{c}' as name, cast({c} as double) as v from trips where {c} is not null" for c in _MEASURED),
+    ),
+    ("ranked", "select name, v, row_number() over (partition by name order by v) as k, count(*) over (partition by name) as n from pairs"),
+    (
+        "quartiles",
+        """select name, n, min(v) filter (where 4 * k >= n) as q1, min(v) filter (where 4 * k >= 3 * n) as q3
+           from ranked group by 1, 2""",
+    ),
+    ("bounds", "select name, n, q1, q3, q1 - (q3 - q1) * 0.5::double as low, q3 + (q3 - q1) * 0.5::double as high from quartiles"),
+)
+
+
+def _bound(c: str, side: str) -> str:
+    return f"(select {side} from bounds where name = '{c}')"
+
+
+_OUTLIER = {c: f"({c} < {_bound(c, 'low')} or {c} > {_bound(c, 'high')})" for c in _MEASURED}
+_ZONES = (
+    "zones",
+    """select case when n_nationkey = 24 then 7 else n_nationkey end as id, min({'b': r_name, 'z': n_name}) as names
+       from nation join region on n_regionkey = r_regionkey group by 1""",
+)
+_AREAS = (
+    "areas",
+    f"""select name, lat_min, lat_min + 2 as lat_max, lon_min, lon_min + 2 as lon_max from (
+        select n_name as name, {", ".join(f"{e} as {c}" for c, e in _BOXES.items())} from nation)""",
+)
+
+
+def _area(lat: str, lon: str) -> str:
+    return f"(select min(name) from areas where {lat} >= lat_min and {lat} < lat_max and {lon} >= lon_min and {lon} < lon_max)"
+
+
 _TWO_INCREMENTS = f"""select {_K}, batch_no, driver_email,
   count(*) over (partition by driver_email, batch_no < 3) as driver_experience_level{{extra}} from trips"""
 
@@ -715,6 +848,45 @@ ORACLES: dict[str, str] = {
            then try_cast(lpep_pickup_datetime as timestamp) end as pickup_iso,
       case when regexp_full_match(request_datetime, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}} [0-9:]{{8}}')
            then try_cast(request_datetime as timestamp) end as request_plain from raw""",
+    "pickup_calendar": _with(_TRIPS, _RENAMED)
+    + f"""select {_K}, pickup_datetime, cast(isodow(pickup_datetime) as integer) as pickup_weekday,
+      strftime(pickup_datetime, '%a') as pickup_weekday_name,
+      case when month(pickup_datetime) in (12, 1, 2) then 'Winter' when month(pickup_datetime) <= 5 then 'Spring'
+           when month(pickup_datetime) <= 8 then 'Summer' else 'Autumn' end as season from renamed""",
+    "net_fare": _with(_TRIPS)
+    + f"""select {_K}, fare_amount, {_r("fare_amount - coalesce(tolls_amount, 0) - coalesce(improvement_surcharge, 0) - coalesce(congestion_surcharge, 0)", 2)}
+      as net_fare from trips""",
+    "airport_trips": _with(_TRIPS, ("raw", RAW_TRIPS_SQL), ("typed", _TYPED_FROM_RAW))
+    + f"""select {_K}, PULocationID, DOLocationID,
+      PULocationID in (1, 132, 138) or DOLocationID in (1, 132, 138) as is_airport_trip from typed""",
+    "weather_flags": _with(_TRIPS)
+    + f"""select {_K}, humidity, humidity > 80 as is_high_humidity,
+      weather_description in ('weather 4', 'weather 5') as is_extreme_weather,
+      {_r("feels_like - temperature", 1)} as feels_like_difference from trips""",
+    "passenger_category": _with(_TRIPS)
+    + f"""select {_K}, passenger_age, passenger_Job,
+      case when passenger_age is null then null when passenger_age < 18 then 'Minor' when passenger_age < 30 then 'Young'
+           when passenger_age < 60 then 'Adult' else 'Senior' end
+      || case when passenger_age between 18 and 59 and passenger_Job in ('job 3', 'job 7', 'job 11') then ' Professional' else '' end
+      as passenger_category from trips""",
+    "experienced_driver": _with(_TRIPS)
+    + f"""select {_K}, driver_email, n as driver_experience_level, n >= {_EXPERIENCED} as experienced_driver
+      from (select *, count(*) over (partition by driver_email) as n from trips)""",
+    "zone_names": _with(_TRIPS, _ZONES)
+    + f"""select {_K}, PULocationID, DOLocationID, a.names.b as pickup_borough, a.names.z as pickup_zone,
+      o.names.b as dropoff_borough, o.names.z as dropoff_zone
+      from trips left join zones a on PULocationID = a.id left join zones o on DOLocationID = o.id""",
+    "neighborhoods": _with(_TRIPS, _AREAS)
+    + f"""select {_K}, {_area('pickup_latitude', 'pickup_longitude')} as pickup_neighborhood,
+      {_area('dropoff_latitude', 'dropoff_longitude')} as dropoff_neighborhood from trips""",
+    "repeated_trips": _with(_TRIPS)
+    + f"""select {_K}, trip_distance, total_amount, passenger_email from trips
+      qualify row_number() over (partition by l_orderkey, l_linenumber order by l_partkey, l_suppkey, trip_distance,
+        total_amount, passenger_email nulls first) = 1""",
+    "outlier_bounds": _with(_TRIPS, *_BOUNDS) + "select * from bounds",
+    "outlier_trips": _with(_TRIPS, *_BOUNDS) + f"select {_K}, {', '.join(f'{f} as {c}_outlier' for c, f in _OUTLIER.items())} from trips",
+    "plain_trips": _with(_TRIPS, *_BOUNDS)
+    + f"select {_K}, {', '.join(_MEASURED)} from trips where {' and '.join(f'not coalesce({f}, false)' for f in _OUTLIER.values())}",
     "silver_rerun": _with(_TRIPS) + f"select {_K}, batch_no, driver_email from trips",
     "gold_late_batch": _with(_TRIPS) + _TWO_INCREMENTS.format(extra=", case when batch_no < 3 then 0 else 19 end as ingest_hour"),
     "gold_catalog_table": _with(_TRIPS) + _TWO_INCREMENTS.format(extra=", case when batch_no < 3 then 0 else 19 end as ingest_hour"),
