@@ -4,7 +4,7 @@ from collections import Counter, defaultdict
 
 import corpus_pipeline
 from tests.llm.conftest import SF
-from tests.llm.test_line_dedup import _brute as brute_lines
+from tests.llm.test_passages import _brute as brute_lines
 from tests.llm.test_simhash import brute_components, brute_fingerprint
 from tripkiln.llm.common import stage
 
@@ -51,7 +51,7 @@ def test_run_is_registered(spark):
 
     assert entry.queries()["pipeline"] is corpus_pipeline.run
     assert corpus_pipeline.run(spark, SF).count() > 0
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(q.startswith(f"op{n}_") for q in entry.queries()) == 1
 
 
