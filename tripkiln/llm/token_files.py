@@ -14,15 +14,17 @@ canonical code follows.
 
 from __future__ import annotations
 
+import json
 import os
 import uuid
 import zlib
 from collections.abc import Iterator
 from functools import cache
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,8 +39,8 @@ BLOCK_IDS = 256
 SEGMENT_IDS = 1 << 17
 #: Longest code; a decoding table has two to this power entries.
 MAX_CODE_BITS = 18
-#: Distinct words whose ids a worker remembers before it starts anew.
-WORD_CACHE = 1_000_000
+#: Distinct words whose ids a worker remembers before it forgets those that it met in one batch only.
+WORD_CACHE = 500_000
 END_ID = 2
 TOKENIZER = "word_bpe_49k.json"
 
@@ -144,19 +146,63 @@ def decode_ids(data: bytes, checkpoints: np.ndarray, n_ids: int, decoder: tuple[
 
 # -- tokens ----------------------------------------------------------------
 
-_MARKS = b".,!?;:"
+_MARKS = ".,!?;:"
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
+#: Latin letters whose lower case is a Latin letter too.
+_LETTERS = "".join(c for c in map(chr, range(0x250)) if c.lower().isalpha() and max(c.lower()) < "\u0250")
+#: A plain word; punctuation marks may follow it in the text.
+_PLAIN = f"^[{_LETTERS}]+$"
+
+
+def _tails(words: pa.Array, bodies: pa.Array) -> pa.Array:
+    """What the words have behind their beginnings ``bodies``."""
+    cut = pc.binary_length(bodies).to_pylist()
+    return pa.array([w[n:] for w, n in zip(words.view(pa.binary()).to_pylist(), cut)], pa.binary()).view(pa.string())
+
+
+def _utf8(texts: list[bytes]) -> pa.Array:
+    """As strings; bytes that are no UTF-8 become replacement characters."""
+    try:
+        return pa.array(texts, pa.binary()).cast(pa.string())
+    except pa.ArrowInvalid:
+        return pa.array([t.decode("utf-8", "replace") for t in texts], pa.string())
+
+
+def _plain_tokenizer(path: str, tokenizer):
+    """A tokenizer of the same model for lower-case words of Latin letters,
+    joined by spaces: what splits texts into such words and folds their case
+    has nothing to do there. The given one if the file may treat them otherwise."""
+    from tokenizers import Tokenizer, pre_tokenizers
+
+    with open(path, encoding="utf-8") as file:
+        steps = json.load(file)
+    folds = (steps["normalizer"] or {}).get("normalizers", [])
+    splits = (steps["pre_tokenizer"] or {}).get("pretokenizers", [])
+    known = [n["type"] for n in folds] == ["NFC", "Replace", "Lowercase"] and folds[1]["pattern"] == {"Regex": "\\s+"}
+    known = known and [n["type"] for n in splits] == ["Split", "ByteLevel"] and not splits[1]["add_prefix_space"] and not splits[1]["use_regex"]
+    if not known or "|[\\p{L}]+|" not in splits[0]["pattern"].get("Regex", ""):
+        return tokenizer
+    plain = Tokenizer(tokenizer.model)
+    plain.pre_tokenizer = pre_tokenizers.Sequence(
+        [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+    )
+    return plain
+
+
+class _Grown:
+    """An array that grows at its end."""
 
+    def __init__(self, dtype):
+        self.room, self.size = np.empty(1 << 12, dtype), 0
 
-def word_parts(word: bytes) -> int:
-    """Pre-tokens of a plain word: 1 for Latin letters, 2 with punctuation
-    marks behind them, 0 for all other words."""
-    body = word.rstrip(_MARKS)
-    if not body.isalpha():  # ASCII letters?
-        text = body.decode("utf-8", "replace").lower()
-        if not text.isalpha() or max(text) > "\u024f":
-            return 0
-    return 1 if len(body) == len(word) else 2
+    def extend(self, more: np.ndarray) -> None:
+        size = self.size + len(more)
+        if size > len(self.room):
+            room = np.empty(max(size, 3 * len(self.room) // 2), self.room.dtype)
+            room[: self.size] = self.room[: self.size]
+            self.room = room
+        self.room[self.size : size] = more
+        self.size = size
 
 
 class WordEncoder:
@@ -173,6 +219,7 @@ class WordEncoder:
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has its core
         self.tokenizer, self.cache = Tokenizer.from_file(path), cache
+        self.plain = _plain_tokenizer(path, self.tokenizer)
         suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
         vocabulary = self.tokenizer.get_vocab()
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
@@ -181,75 +228,106 @@ class WordEncoder:
         self._reset()
 
     def _reset(self) -> None:
+        # number 0, the empty word, stands for a text's end
         self.number: dict[bytes, int] = {}
-        self.lengths, self.flat = np.empty(0, np.int64), np.empty(0, np.uint32)
-        self.starts = np.empty(0, np.int64)
-
-    def _ids(self, texts: list[bytes]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast([t.decode("utf-8", "replace") for t in texts], add_special_tokens=False)]
-
-    def _learn(self, words: list[bytes], parts: list[int]) -> None:
-        """Ids of ``words``; ``parts``: see ``word_parts``."""
-        if all(parts):
-            ids = np.array(self._ids([b" ".join(words)])[0], np.uint32)
-            ends = np.flatnonzero(self.ends_word[ids]) + 1
-            last = np.cumsum(parts) - 1
-            if len(ends) != last[-1] + 1 or ends[-1] != len(ids):
-                return self._learn(words, [0] * len(words))
-            lengths = np.diff(ends[last], prepend=0)
-        else:
-            got = self._ids(words)
-            lengths = np.fromiter(map(len, got), np.int64, len(got))
-            ids = np.fromiter(chain.from_iterable(got), np.uint32, int(lengths.sum()))
-        return self._add(words, lengths, ids)
-
-    def _learn_all(self, new: list[bytes]) -> None:
-        kinds = list(map(word_parts, new))
-        plain = [w for w, n in zip(new, kinds) if n == 1]
-        marked = [(w, w.rstrip(_MARKS)) for w, n in zip(new, kinds) if n == 2]
-        number = self.number
-        plain += list({body for _, body in marked if body not in number}.difference(plain))
-        marks = list({w[len(body) :] for w, body in marked if w[len(body) :] not in number})
-        others = [w for w, n in zip(new, kinds) if not n and w not in marks]
-        if plain:
-            self._learn(plain, [1] * len(plain))
-        if marks or others:
-            self._learn(marks + others, [0])
-        if marked:  # ids of the word, then of the marks
-            a = np.fromiter((number[body] for _, body in marked), np.int64, len(marked))
-            b = np.fromiter((number[w[len(body) :]] for w, body in marked), np.int64, len(marked))
-            both = np.stack([a, b], axis=1).ravel()
-            n = self.lengths[both]
-            ids = self.flat[np.repeat(self.starts[both], n) + ranges(n)]
-            self._add([w for w, _ in marked], n.reshape(-1, 2).sum(axis=1), ids)
+        self.lengths, self.starts, self.flat, self.met = _Grown(np.int32), _Grown(np.int32), _Grown(np.uint32), _Grown(np.uint32)
+        self._add([b""], np.ones(1, np.int32), np.zeros(1, np.uint32))
+
+    def _forget(self) -> None:
+        """Keep the words met in several batches, unless these are most of them."""
+        often = np.flatnonzero(self.met.room[: self.met.size] > 1)
+        often = often[often > 0]
+        if len(often) > self.cache // 2:
+            return self._reset()
+        ids, lengths = self._ids(often)
+        wanted = set(often.tolist())
+        words = [w for w, i in self.number.items() if i in wanted]
+        self._reset()
+        self._add(words, lengths, ids)
 
     def _add(self, words: list[bytes], lengths: np.ndarray, ids: np.ndarray) -> None:
         first = len(self.number)
         self.number.update(zip(words, range(first, first + len(words))))
-        self.lengths, self.flat = np.concatenate([self.lengths, lengths]), np.concatenate([self.flat, ids])
-        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.starts.extend(self.flat.size + np.cumsum(lengths) - lengths)
+        self.met.extend(np.zeros(len(words), np.uint32))
+        self.lengths.extend(lengths)
+        self.flat.extend(ids)
+
+    def _learn_plain(self, words: pa.Array) -> None:
+        joined = pc.binary_join(pa.ListArray.from_arrays([0, len(words)], pc.utf8_lower(words)), " ")[0].as_py()
+        ids = np.array(self.plain.encode_batch_fast([joined], add_special_tokens=False)[0].ids, np.uint32)
+        ends = np.flatnonzero(self.ends_word[ids]) + 1
+        if len(ends) == len(words) and ends[-1] == len(ids):
+            self._add(words.view(pa.binary()).to_pylist(), np.diff(ends, prepend=0), ids)
+        else:
+            self._learn(words)
+
+    def _learn(self, words: pa.Array) -> None:
+        got = [e.ids for e in self.tokenizer.encode_batch_fast(words.to_pylist(), add_special_tokens=False)]
+        lengths = np.fromiter(map(len, got), np.int64, len(got))
+        self._add(words.view(pa.binary()).to_pylist(), lengths, np.fromiter(chain.from_iterable(got), np.uint32, int(lengths.sum())))
+
+    def _unknown(self, words: pa.Array) -> pa.Array:
+        words = pc.unique(words)
+        number = self.number
+        return words.filter(pa.array([w not in number for w in words.view(pa.binary()).to_pylist()], pa.bool_()))
+
+    def _learn_all(self, new: pa.Array) -> None:
+        """Ids of all words of ``new``, which are distinct and unknown."""
+        body = pc.ascii_rtrim(new, characters=_MARKS)
+        has_marks = pc.less(pc.binary_length(body), pc.binary_length(new))
+        latin = pc.match_substring_regex(body, _PLAIN)
+        plain, marked, others = pc.and_not(latin, has_marks), pc.and_(latin, has_marks), pc.invert(latin)
+        bodies, whole = body.filter(marked), new.filter(marked)
+        tails = _tails(whole, bodies)
+        for learn, words in ((self._learn_plain, new.filter(plain)), (self._learn, new.filter(others))):
+            if len(words):
+                learn(words)
+        if not len(whole):
+            return
+        for learn, words in ((self._learn_plain, self._unknown(bodies)), (self._learn, self._unknown(tails))):
+            if len(words):
+                learn(words)
+        # ids of the word, then of the marks
+        both = np.empty((len(whole), 2), np.int64)
+        for k, part in enumerate((bodies, tails)):
+            both[:, k] = list(map(self.number.__getitem__, part.view(pa.binary()).to_pylist()))
+        ids, n = self._ids(both.ravel())
+        self._add(whole.view(pa.binary()).to_pylist(), n.reshape(-1, 2).sum(axis=1), ids)
+
+    def _ids(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words of these numbers, and how many each has."""
+        n = self.lengths.room[which]
+        before = np.cumsum(n, dtype=np.int64)
+        total = int(before[-1]) if len(n) else 0
+        before -= n
+        at = np.arange(total, dtype=np.int64) + np.repeat(self.starts.room[which] - before, n)
+        return self.flat.room[at], n
 
     def encode(self, texts: list[bytes], end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each with ``end_id`` behind it, and their counts."""
         if len(self.number) > self.cache:
-            self._reset()
+            self._forget()
+        self.flat.room[0] = end_id
         # A-Z may be lowered first, unless special tokens or combining marks might see it
-        split = [(t if b"<|" in t or b"\xcc" in t or b"\xcd" in t else t.translate(_LOWER)).split() for t in texts]
-        words = np.fromiter(map(len, split), np.int64, len(split))
-        flat = list(chain.from_iterable(split))
-        try:
-            which = np.fromiter(map(self.number.__getitem__, flat), np.int64, len(flat))
-        except KeyError:
-            self._learn_all(list({w for w in flat if w not in self.number}))
-            which = np.fromiter(map(self.number.__getitem__, flat), np.int64, len(flat))
-        n = self.lengths[which]
-        upto = np.concatenate([[0], np.cumsum(n)])
-        counts = np.diff(upto[np.concatenate([[0], np.cumsum(words)])]) + 1
-        ids = np.full(int(counts.sum()), end_id, np.uint32)
-        body = np.ones(len(ids), bool)
-        body[np.cumsum(counts) - 1] = False
-        ids[body] = self.flat[np.repeat(self.starts[which], n) + ranges(n)]
-        return ids, counts
+        lower = [t if b"<|" in t or b"\xcc" in t or b"\xcd" in t else t.translate(_LOWER) for t in texts]
+        split = pc.ascii_split_whitespace(_utf8(lower))
+        found = split.values.dictionary_encode()
+        words = found.dictionary.view(pa.binary()).to_pylist()
+        known = np.fromiter(map(self.number.get, words, repeat(-1)), np.int64, len(words))
+        unknown = np.flatnonzero(known < 0)
+        if len(unknown):
+            self._learn_all(found.dictionary.take(pa.array(unknown)))
+            known[unknown] = [self.number[words[i]] for i in unknown.tolist()]
+        self.met.room[known] += 1
+        which = known[found.indices.to_numpy()]
+        full = which > 0  # white space at a text's ends splits off an empty word
+        upto = np.concatenate([[0], np.cumsum(full)])[split.offsets.to_numpy()]
+        which = which[full]
+        ended = np.zeros(len(which) + len(texts), np.int64)  # 0 at the texts' ends
+        ended[np.arange(len(which)) + np.repeat(np.arange(len(texts)), np.diff(upto))] = which
+        ids, n = self._ids(ended)
+        return ids, np.diff(np.cumsum(n, dtype=np.int64)[upto[1:] + np.arange(len(texts))], prepend=0)
 
 
 @cache
