@@ -336,7 +336,7 @@ def _encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
 
 
-_SEGMENT = "part int, seg int, doc_ids array<long>, lengths array<int>, ids binary"
+_SEGMENT = "part int, seg int, doc_ids array<long>, lengths array<int>, ids binary, counts binary"
 
 
 def _segments(path: str, end_id: int):
@@ -345,17 +345,18 @@ def _segments(path: str, end_id: int):
         docs: list = []
         counts: list[np.ndarray] = []
         ids: list[np.ndarray] = []
-        held = 0
+        held, total = 0, np.zeros(0, np.int64)
+        types = [pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary(), pa.binary()]
+        names = ["part", "seg", "doc_ids", "lengths", "ids", "counts"]
 
         def close() -> pa.RecordBatch:
-            nonlocal held, seg
-            row = [[part], [seg], [docs[:]], [np.concatenate(counts)], [np.concatenate(ids).astype("<u4").tobytes()]]
-            types = [pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary()]
+            nonlocal held, seg, total
+            coded = np.concatenate(ids).astype("<u4")
+            total = _sum(total, np.bincount(coded))
+            row = [part, seg, docs[:], np.concatenate(counts), coded.tobytes(), None]
             docs.clear(), counts.clear(), ids.clear()
             held, seg = 0, seg + 1
-            return pa.RecordBatch.from_arrays(
-                [pa.array(v, t) for v, t in zip(row, types)], names=["part", "seg", "doc_ids", "lengths", "ids"]
-            )
+            return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, types)], names=names)
 
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
@@ -369,17 +370,24 @@ def _segments(path: str, end_id: int):
                     yield close()
         if docs:
             yield close()
+        if seg:  # the ids' counts, apart from the segments
+            row = [part, -1, None, None, None, total.astype("<i8").tobytes()]
+            yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, types)], names=names)
 
     return segments
 
 
+def _sum(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Of counts by id, one of which may end earlier."""
+    size = max(len(a), len(b))
+    return np.pad(a, (0, size - len(a))) + np.pad(b, (0, size - len(b)))
+
+
 def _count_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros(0, np.int64)
     for batch in batches:
-        for ids in batch.column(0):
-            n = np.bincount(np.frombuffer(ids.as_buffer(), "<u4"))
-            size = max(len(n), len(total))
-            total = np.pad(total, (0, size - len(total))) + np.pad(n, (0, size - len(n)))
+        for counts in batch.column(0):
+            total = _sum(total, np.frombuffer(counts.as_buffer(), "<i8"))
     found = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(total[found])], names=["id", "n"])
 
@@ -419,13 +427,13 @@ def write_token_files(
     )
     raw = stage(ordered.mapInArrow(_segments(tokenizer, end_id), _SEGMENT), "token-ids")
     # one row an id of the vocabulary
-    counted = raw.select("ids").mapInArrow(_count_ids, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
+    counted = raw.where("seg < 0").select("counts").mapInArrow(_count_ids, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
     counts = np.zeros(max((r["id"] for r in counted), default=0) + 1, np.int64)
     for r in counted:
         counts[r["id"]] = r["n"]
     lengths = code_lengths(counts)
     spark.createDataFrame([(i, int(n)) for i, n in enumerate(lengths) if n], "id long, bits int").coalesce(1).write.parquet(f"{path}/codes")
-    raw.select("part", "seg", "doc_ids", "lengths", "ids").mapInArrow(
+    raw.where("seg >= 0").select("part", "seg", "doc_ids", "lengths", "ids").mapInArrow(
         _encode(lengths),
         "part int, seg int, doc_ids array<long>, lengths array<int>, n_ids long, checkpoints array<long>, data binary",
     ).write.parquet(f"{path}/segments")
