@@ -27,9 +27,10 @@ from pyspark.sql.window import Window
 
 from tripkiln.llm.common import stage, table
 
-BLOCK_ROWS = 8192
-#: Anchors scored at once against a block.
-ANCHORS_AT_ONCE = 128
+#: Rows of a block at most (the anchors are shuffled once a block), and of more blocks than cores.
+BLOCK_ROWS, SMALL_BLOCK_ROWS = 65_536, 8192
+#: Scores held at once: some anchors against a whole block.
+SCORES_AT_ONCE = 1 << 21
 SCALE = 256.0
 LONG = (1 << 63) - 1
 _SIGN = np.uint64(1 << 63)
@@ -37,7 +38,7 @@ _SIGN = np.uint64(1 << 63)
 
 def whole(vector: Column) -> Column:
     """Not null, and every component present, finite and finite once scaled."""
-    bad = lambda x: x.isNull() | F.isnan(x) | (F.abs(x.cast("double") * SCALE) == float("inf"))
+    bad = lambda x: x.isNull() | F.isnan(x.cast("double")) | (F.abs(x.cast("double") * SCALE) == float("inf"))
     return F.coalesce(vector.isNotNull() & ~F.exists(vector, bad), F.lit(False))
 
 
@@ -125,9 +126,11 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch,
                 t = pa.Table.from_batches(held, part.schema).combine_chunks().sort_by("id")
                 rows = (t["id"].to_numpy(), t["label"].to_numpy(), _matrix(t["v"].combine_chunks())) if held else ()
                 held = []
-            for at in range(0, part.num_rows, ANCHORS_AT_ONCE):
-                if rows:
-                    yield part.slice(at, ANCHORS_AT_ONCE), rows
+            if not rows:
+                continue
+            some = max(1, SCORES_AT_ONCE // len(rows[0]))
+            for at in range(0, part.num_rows, some):
+                yield part.slice(at, some), rows
 
 
 def _batch(anchor, score, negative, ids) -> pa.RecordBatch:
@@ -209,7 +212,7 @@ _RESULT = "anchor_id long, positive_id long, rank int, negative_id long, positiv
 def mine_hard_negatives(
     vectors: DataFrame, is_anchor: Column, positives: int = 5, negatives: int = 3,
     low: tuple[int, int] = (50, 100), high: tuple[int, int] = (95, 100),
-    id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", block_rows: int = BLOCK_ROWS,
+    id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", block_rows: int | None = None,
 ) -> DataFrame:
     """``anchor_id, positive_id, rank, negative_id, positive_score,
     negative_score``: for every row that ``is_anchor`` and each of its first
@@ -227,11 +230,14 @@ def mine_hard_negatives(
     Ids and labels are whole numbers. No anchors, no rows; an anchor without positives has none."""
     rows = vectors.select(
         F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("long").alias("label"),
-        F.col(vector_col).cast("array<double>").alias("v"), is_anchor.alias("ask"),
+        F.col(vector_col).alias("v"), is_anchor.alias("ask"),
     ).where(F.col("id").isNotNull() & F.col("label").isNotNull() & whole(F.col("v")))
     rows = rows.groupBy("id").agg(F.min(F.struct("label", "v", "ask")).alias("row")).select("id", "row.*")
     rows = stage(rows, "vectors")
-    blocks = max(1, -(-rows.count() // block_rows))
+    n = rows.count()
+    if block_rows is None:
+        block_rows = max(SMALL_BLOCK_ROWS, min(BLOCK_ROWS, -(-n // vectors.sparkSession.sparkContext.defaultParallelism)))
+    blocks = max(1, -(-n // block_rows))
     index = rows.select(F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("block"), F.lit(0).alias("asks"), "id", "label", "v")
     every_block = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block")
     asks = rows.where("ask").select(every_block, F.lit(1).alias("asks"), "id", "label", "v")
