@@ -48,7 +48,7 @@ def base(text):
     return [s for s in pii.find_spans(text) if s[0] in pii.BASE]
 
 
-@settings(max_examples=1500, deadline=None)
+@settings(max_examples=600, deadline=None)
 @given(st.text(alphabet="a.Z_%+-@@..0123456789 ()é\n漢", max_size=60))
 def test_base_spans_of_any_text(text):
     assert base(text) == brute(text)
@@ -61,7 +61,7 @@ def test_base_spans_of_pieces():
         "4111 1111 1111 1111", "4111-1111-1111-1111", "41111111111111112", "+1 (017) 555-7713", "+12", "+1-2", "+1 2 3 4 5 6 7 8 9 0 1 2 3 4 5 6", "é", " ",
         " ", "\n", ".", "-", "7", "🙂", "rené@x.de", "DE89 3704 0044 0532 0130 00", "+491234567.",
     ]
-    for _ in range(4000):
+    for _ in range(1200):
         text = "".join(rng.choice(pieces) for _ in range(rng.randint(0, 8)))
         assert base(text) == brute(text), text
 

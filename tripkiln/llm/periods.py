@@ -196,7 +196,7 @@ def _reach(symbols: np.ndarray, longest: int):
     return reach
 
 
-def _exact_reach(symbols: np.ndarray):
+def _exact_reach(symbols: np.ndarray, longest: int):
     """The same by comparing words, for texts that deceive the hashes."""
 
     def reach(pos: np.ndarray, dist: np.ndarray):
@@ -224,24 +224,38 @@ def find_runs(
     longest = len(symbols) if longest is None else longest
     if longest < max(min_length, exponent):
         return none
-    candidates = list(_candidates(*_block_queries(symbols, longest, exponent), exponent))
-    if not sum(len(p) for p, _ in candidates):
-        return none
-    for reach in (_reach(symbols, longest), _exact_reach(symbols)):
-        found = [none]
-        for pos, dist in candidates:
+    queries = _block_queries(symbols, longest, exponent)
+    for extend in (_reach, _exact_reach):
+        runs, reach = none, None
+        for pos, dist in _candidates(*queries, exponent):
+            new = ~_inside(runs, pos, dist)
+            pos, dist = pos[new], dist[new]
+            if not len(pos):
+                continue
+            reach = reach or extend(symbols, longest)
             left, right = reach(pos, dist)
             length = left + right + dist
             long = length >= np.maximum(min_length, exponent * dist)
-            found.append(np.unique(np.column_stack([(pos - left)[long], length[long], dist[long]]), axis=0))
-        runs = np.unique(np.concatenate(found), axis=0)
-        # multiples of a period span the same stretch: the least is the period
-        runs = runs[np.append(True, (runs[1:, :2] != runs[:-1, :2]).any(axis=1))[: len(runs)]]
+            found = np.column_stack([(pos - left)[long], length[long], dist[long]])
+            runs = np.unique(np.concatenate([runs, found]), axis=0)
+            # multiples of a period span the same stretch: the least is the period
+            runs = runs[np.append(True, (runs[1:, :2] != runs[:-1, :2]).any(axis=1))[: len(runs)]]
         if all(np.array_equal(symbols[s : s + k - p], symbols[s + p : s + k]) for s, k, p in runs.tolist()):
             break
     return runs[np.lexsort((runs[:, 2], runs[:, 0]))]
 
 
+def _inside(runs: np.ndarray, pos: np.ndarray, dist: np.ndarray) -> np.ndarray:
+    """Whether a block and its copy begin in the last run that begins before
+    the block, a multiple of its period apart: they would find that run again
+    (they agree up to its end, as their words keep its period)."""
+    if not len(runs):
+        return np.zeros(len(pos), bool)
+    last = np.searchsorted(runs[:, 0], pos, "right") - 1
+    start, length, period = runs[np.maximum(last, 0)].T
+    return (last >= 0) & (pos + dist + period <= start + length) & (dist % period == 0) & (pos >= start)
+
+
 def _batch(texts: list[list[bytes]]) -> Iterator[np.ndarray]:
     """The runs of each text."""
     lengths = np.array([len(t) for t in texts], np.int64)
