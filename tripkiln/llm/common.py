@@ -84,9 +84,10 @@ def _last_group_start(t: pa.Table, keys: list[str]) -> int:
     return 0 if same.all() else int(np.flatnonzero(~same)[-1]) + 1
 
 
-@F.pandas_udf(T.LongType())
-def _words(texts):
-    return texts.map(lambda t: 0 if t is None else len(t.split())).astype("int64")
+@F.arrow_udf(T.LongType())
+def _words(texts: pa.Array) -> pa.Array:
+    sizes = (len((t.as_py() or b"").split()) for t in texts)  # one text at a time
+    return pa.array(np.fromiter(sizes, np.int64, len(texts)))
 
 
 def size_udf(text: Column | str) -> Column:

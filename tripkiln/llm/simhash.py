@@ -20,7 +20,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -63,10 +62,10 @@ def text_fingerprint(text: bytes | None, shingle: int = SHINGLE_WORDS) -> int:
 def fingerprint(text: Column, shingle: int = SHINGLE_WORDS) -> Column:
     """The fingerprint of a text as a signed long."""
 
-    @F.pandas_udf(T.LongType())
-    def simhash(texts: pd.Series) -> pd.Series:
-        values = np.fromiter((text_fingerprint(t, shingle) for t in texts), np.uint64, len(texts))
-        return pd.Series(values.view(np.int64))
+    @F.arrow_udf(T.LongType())
+    def simhash(texts: pa.Array) -> pa.Array:
+        values = np.fromiter((text_fingerprint(t.as_py(), shingle) for t in texts), np.uint64, len(texts))
+        return pa.array(values.view(np.int64))
 
     return simhash(text.cast("binary"))
 

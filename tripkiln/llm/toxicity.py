@@ -19,7 +19,6 @@ from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,7 +29,7 @@ from tripkiln.llm.common import fresh, stage, table
 #: Labelled rows that the fit reads at most, a quarter of them toxic if there are as many; they weigh as the rows they are drawn from.
 TRAIN_ROWS = 24_000
 N_FEATURES = 1024
-#: Texts whose features are counted together before they leave a task.
+#: Texts whose features are held together in a task.
 COUNTED_TEXTS = 400
 #: Gradient steps of one fit.
 STEPS = 80
@@ -292,9 +291,13 @@ def score_udf(chain: Chain):
             found += [number["^^" + s] for s, k in starts.items() if k > 1 and "^^" + s in number]
         return found
 
-    @F.pandas_udf(fields)
-    def score(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame(chain.probabilities([feature_numbers(t) for t in texts]), columns=fields.names)
+    @F.arrow_udf(fields)
+    def score(texts: pa.Array) -> pa.Array:
+        found = [np.empty((0, len(fields)))]
+        for at in range(0, len(texts), COUNTED_TEXTS):  # one text's words at a time
+            found.append(chain.probabilities([feature_numbers(t.as_py()) for t in texts.slice(at, COUNTED_TEXTS)]))
+        p = np.concatenate(found)
+        return pa.StructArray.from_arrays([pa.array(p[:, i]) for i in range(len(fields))], names=fields.names)
 
     return score
 
