@@ -8,6 +8,7 @@ import __spark_entry__ as E
 from tests.conftest import SF_SMALL
 from tripkiln.plans.gold import gold
 from tripkiln.plans.catalog import q_silver_clean
+from tripkiln.session import LARGEST_METHOD, compiled_stages
 from tripkiln.sources.staging import stage
 
 
@@ -69,3 +70,17 @@ def test_increment_filter_is_pushed(spark, tmp_path):
     spark.range(0, 100).selectExpr("id as ingest_timestamp").write.parquet(path)
     plan = _plan(newer_than(spark.read.parquet(path), "ingest_timestamp", 42))
     assert "GreaterThan(ingest_timestamp,42)" in plan
+
+
+def test_wide_stages_stay_compiled(spark):
+    """A fused stage with a method that the JVM does not compile runs operator by operator."""
+    limit = "spark.sql.codegen.hugeMethodLimit"
+    spark.conf.unset(limit)
+    for name in ("trips_fixture", "cast_types", "impute_mean"):
+        stages = E.QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().debug().codegenToSeq()
+        largest = max(stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size()))
+        assert largest <= LARGEST_METHOD or int(spark.conf.get(limit)) <= LARGEST_METHOD, name
+    spark.conf.set(limit, "4000")
+    compiled_stages(spark)
+    assert spark.conf.get(limit) == "4000"  # the session's own lower limit stays
+    spark.conf.unset(limit)
