@@ -1,9 +1,11 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tests.conftest import rows
+from tripkiln.functions.columns import round_half_up
 from tripkiln.operators.cleanse import cast_columns, drop_columns, drop_incomplete, rename_columns
 from tripkiln.schema import CAST_SPEC, RAW_COLUMNS, CastRule, categorical_columns, numeric_columns, typed_schema
 
@@ -108,3 +110,19 @@ def test_row_id_and_compute_hook(spark):
     out = compute_columns(df, {"k2": F.col("k") * 2})
     assert [r[0] for r in rows(out, "k2")] == [2, 4, 2]
     assert compute_columns(df) is df
+
+
+def test_rounding_is_that_of_the_decimal_text(spark):
+    import random
+
+    rng = random.Random(7)
+    values = [0.0, -0.0, 0.5, -0.5, 1.005, 2.675, 1e300, -1e300, 5e-324, float("nan"), float("inf"), 0.285, 1.0000005, -3.4999999999]
+    values += [rng.uniform(-10, 10) * 10 ** rng.randint(-8, 14) for _ in range(3000)]
+    values += [rng.randint(-10**6, 10**6) / 2 ** rng.randint(0, 20) for _ in range(3000)]
+    values += [round(rng.uniform(-1000, 1000), 3) // 0.01 * 0.01 + 0.005 for _ in range(3000)]
+    df = spark.createDataFrame([(v,) for v in values] + [(None,)], "v double")
+    for digits in (0, 1, 2, 6):
+        both = df.select("v", F.round("v", digits).alias("a"), round_half_up("v", digits).alias("b"))
+        assert both.where("not (a <=> b)").collect() == []
+    plan = cast_columns(df, (CastRule("v", "double", 2),))._jdf.queryExecution().optimizedPlan().toString()
+    assert "FLOOR" in plan
