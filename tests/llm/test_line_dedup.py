@@ -1,9 +1,14 @@
+import time
 from collections import defaultdict
+from pathlib import Path
+from urllib.parse import urlparse
 
 from pyspark.sql import functions as F
 
 from tests.llm.conftest import SF
 from tripkiln.llm import line_dedup as ld
+from tripkiln.llm.common import stage
+from tripkiln.session import checkpoint_dir
 
 
 def _without_repeated_chunks(rows):
@@ -69,3 +74,42 @@ def test_edge_rows(spark, edge_docs, no_docs):
     assert {(50, "a\nb\n", False), (51, "", True), (None, "", True), (52, "\n\n", False), (53, "\n\n", False), (2, None, False), (3, "", False)} <= texts
     assert got.where(F.col("doc_id") == 50).count() == 2  # repeated rows are one document and keep the chunk
     assert ld.drop_repeated_chunks(no_docs).count() == 0
+
+
+def test_many_repeated_hashes_give_the_same_texts(spark, docs, edge_docs, monkeypatch):
+    """Where the repeated hashes are too many to broadcast, their places are joined to the texts."""
+    more = spark.createDataFrame([(50, "a\nb\n"), (51, "a\nb\n"), (None, "a\nb\n"), (50, "a\nb\n")], "doc_id long, text string")
+    df = docs.select("doc_id", "text").unionByName(edge_docs.select("doc_id", "text")).unionByName(more)
+    one = sorted(map(str, ld.drop_repeated_chunks(df).collect()))
+    sent = []
+    monkeypatch.setattr(ld, "_occurrences", lambda with_bytes, plain=ld._occurrences: sent.append(with_bytes) or plain(with_bytes))
+    monkeypatch.setattr(ld, "BROADCAST_HASHES", -1)
+    monkeypatch.setattr(ld, "BROADCAST_PLACES", -1)
+    assert sorted(map(str, ld.drop_repeated_chunks(df).collect())) == one
+    assert sent == [False]  # the bytes of all pairs are not shuffled
+
+
+def test_steps_leave_no_files_behind(spark, docs):
+    """What a step has written and shuffled goes when the next one no longer needs it."""
+    before = {f.name for f in _staged(spark)}
+    ld.drop_repeated_chunks(docs).count()
+    left = {f.name.split("-")[0] for f in _staged(spark) if f.name not in before}
+    assert left == {"removed"}
+
+
+def test_a_staged_write_drops_its_shuffle_files(spark):
+    jvm = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = lambda: {f for d in jvm.localDirs() for f in Path(d.getPath()).glob("*/shuffle_*")}
+    key, before = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", files()
+    df = spark.range(1000).groupBy((F.col("id") % 10).alias("k")).agg(F.count("*").alias("n"))
+    staged = stage(df, "test")
+    until = time.time() + 10
+    while files() - before and time.time() < until:
+        time.sleep(0.1)
+    assert not files() - before
+    assert staged.count() == df.count() == 10 and spark.conf.get(key) == "false"
+
+
+def _staged(spark):
+    folder = Path(urlparse(checkpoint_dir(spark)).path) / "tripkiln-stage"
+    return list(folder.iterdir()) if folder.exists() else []

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -12,7 +13,7 @@ from pyspark.sql import types as T
 
 from tripkiln.sources.staging import remove, stage
 
-__all__ = ["drop_stage", "fresh", "ranges", "size_udf", "sorted_groups", "stage", "table"]
+__all__ = ["drop_stage", "fresh", "ranges", "size_udf", "small_batches", "sorted_groups", "stage", "table"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,6 +39,22 @@ def drop_stage(df: DataFrame) -> None:
         remove(df.sparkSession, path)
 
 
+#: Bytes of texts in a batch between Spark and a Python worker.
+BATCH_BYTES = 4 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Let batches of texts end at ``BATCH_BYTES``.
+
+    Spark's own limits (10,000 rows, 64 MB) hold tens of MB of texts a task
+    several times over: in Spark's buffers, in the worker's and in what it
+    makes of them. A lower limit that the session has already is kept."""
+    limit = "spark.sql.execution.arrow.maxBytesPerBatch"
+    has = re.fullmatch(r"(\d+)([kmgt]?)b?", spark.conf.get(limit, "64m").lower())
+    if not has or not 0 < int(has[1]) << 10 * " kmgt".index(has[2] or " ") <= BATCH_BYTES:
+        spark.conf.set(limit, str(BATCH_BYTES))
+
+
 def ranges(lengths: np.ndarray) -> np.ndarray:
     """0..n-1 for each n of ``lengths``, one after the other."""
     lengths = np.asarray(lengths, dtype=np.int64)

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripkiln.llm.common import fresh, stage, table
+from tripkiln.llm.common import drop_stage, fresh, small_batches, stage, table
 
 #: Line hashes in the rolling hash.
 WINDOW = 2
@@ -35,7 +35,7 @@ WINDOW = 2
 DIVISOR = 3
 MIN_LINES = 2
 MAX_LINES = 16
-#: Repeated hashes up to this many are broadcast to the comparison (8 bytes each).
+#: Repeated hashes up to this many are broadcast to the comparison (8 bytes each); the places of more are joined to their texts.
 BROADCAST_HASHES = 1_000_000
 #: Known pairs up to this many are broadcast with their first places (about 40 bytes each).
 BROADCAST_PLACES = 200_000
@@ -138,6 +138,19 @@ def _occurrences(with_bytes: bool):
     return occurrences
 
 
+def _bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Hashes and bytes of a text's units ``idx`` to ``last``."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, 256):
+            bodies = []
+            for text, first, last in zip(*(c.to_pylist() for c in batch.slice(at, 256).columns)):
+                found = units(text or b"")
+                # two texts may share id and hash, and so their places
+                bodies += [text[found[i][0] : found[j][1]] for i, j in zip(first, last) if j < len(found)]
+            hashes = np.fromiter(map(xxhash.xxh64_intdigest, bodies), np.uint64, len(bodies))
+            yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(bodies, pa.binary())], names=["hash", "body"])
+
+
 def without_units(text: bytes, gone: set[int]) -> tuple[bytes, int]:
     """The text without these units and the blank lines between them, and how
     many runs of units were cut."""
@@ -176,6 +189,7 @@ def drop_repeated_chunks(docs: DataFrame, text: str = "text", id_col: str = "doc
     stay null; blank lines alone and single lines of up to
     ``LONG_WORDS`` words are never removed. Two different pairs with one 64-bit hash are told apart by their bytes, and
     both stay."""
+    small_batches(docs.sparkSession)
     new = ["n_chunks_removed", "all_removed"]
     keep = [c for c in docs.columns if c.lower() not in new]
     rk, dropped = fresh(docs.columns + new, "rk", "dropped")
@@ -188,14 +202,17 @@ def drop_repeated_chunks(docs: DataFrame, text: str = "text", id_col: str = "doc
     repeated = stage(
         occ.groupBy("hash").agg(F.count("*").alias("n"), F.min(place).alias("first")).where("n > 1").drop("n"), "repeated"
     )
-    small = repeated.select("hash")
+    hashes = repeated.select("hash")
     if repeated.count() <= BROADCAST_HASHES:
-        small = F.broadcast(small)
+        bodies = slim.mapInArrow(_occurrences(True), "hash long, body binary").join(F.broadcast(hashes), "hash", "left_semi")
+    else:  # only the bytes of repeated pairs are shuffled here too
+        places = occ.join(hashes, "hash", "left_semi").groupBy("id", "rk").agg(F.collect_list(F.struct("idx", "last")).alias("at"))
+        places = stage(places.select(F.col("id").alias("id_"), F.col("rk").alias("rk_"), "at.idx", "at.last"), "places")
+        there = slim.join(places.hint("merge"), slim["id"].eqNullSafe(places["id_"]) & (slim["rk"] == places["rk_"]))
+        bodies = there.select("body", "idx", "last").mapInArrow(_bodies, "hash long, body binary")
     # byte comparison: a hash whose least and greatest bytes are the same stands for one text
     same = (
-        slim.mapInArrow(_occurrences(True), "hash long, body binary")
-        .join(small, "hash", "left_semi")
-        .groupBy("hash").agg(F.min("body").alias("least"), F.max("body").alias("most"))
+        bodies.groupBy("hash").agg(F.min("body").alias("least"), F.max("body").alias("most"))
         .where(F.col("least") == F.col("most"))
         .select("hash")
     )
@@ -208,6 +225,8 @@ def drop_repeated_chunks(docs: DataFrame, text: str = "text", id_col: str = "doc
         .groupBy("id", "rk").agg(F.flatten(F.collect_list(F.sequence("idx", "last"))).alias("idx")),
         "removed",
     )
+    for done in (occ, repeated, known):
+        drop_stage(done)
     r = removed.select(F.col("id").alias("id_"), F.col("rk").alias("rk_"), F.col("idx").alias(dropped))
     r = r.hint("merge")  # grows with the documents: the same join at every size
     marked = docs.select(*keep, F.xxhash64(F.col(text)).alias(rk))
