@@ -2,6 +2,7 @@ import heapq
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
@@ -78,3 +79,21 @@ def test_word_cache_starts_anew():
     for text in ("one two three four", "five six", "one seven two", ""):
         ids, n = enc.encode([text.encode()], 2)
         assert ids.tolist() == [*t.encode(text, add_special_tokens=False).ids, 2] and n.tolist() == [len(ids)]
+
+
+def test_many_texts_are_encoded_together(spark, tmp_path, monkeypatch):
+    """Words that several texts share are looked up once for them all; segments are cut as before."""
+    texts = [f"shared words of text {i}" for i in range(3000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(3000)), pa.array([t.encode() for t in texts], pa.binary())], names=["id", "body"])
+    assert [s.num_rows for s in tf._together([batch])] == [tf.ENCODED_TEXTS, 3000 - tf.ENCODED_TEXTS]
+    monkeypatch.setattr(tf, "ENCODED_BYTES", 100)
+    some = list(tf._together([batch]))
+    assert sum(s.num_rows for s in some) == 3000 and all(s.num_rows < 6 for s in some)
+    monkeypatch.undo()
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    tf.write_token_files(df.repartition(1), str(tmp_path / "t"), PATH)
+    got = sorted((tuple(r) for r in tf.read_token_files(spark, str(tmp_path / "t")).collect()), key=lambda r: r[0])
+    encode = tf.WordEncoder(PATH).encode
+    ids = [encode([t.encode()], tf.END_ID)[0] for t in texts]
+    starts = np.cumsum([0, *map(len, ids)]).tolist()
+    assert got == [(i, starts[i], len(x), zlib.crc32(x.astype("<u4").tobytes())) for i, x in enumerate(ids)]

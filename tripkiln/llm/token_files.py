@@ -41,6 +41,10 @@ SEGMENT_IDS = 1 << 17
 MAX_CODE_BITS = 18
 #: Distinct words whose ids a worker remembers before it forgets those that it met in one batch only.
 WORD_CACHE = 500_000
+#: Texts encoded together: up to so many, and about so many bytes.
+ENCODED_TEXTS, ENCODED_BYTES = 2048, 4 << 20
+#: Documents after which a segment may be closed.
+SEGMENT_STEP = 512
 END_ID = 2
 TOKENIZER = "word_bpe_49k.json"
 
@@ -336,6 +340,18 @@ def _encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
 
 
+def _together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Slices of texts to encode together: a word that several of them have is looked up once."""
+    for batch in batches:
+        size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(), dtype=np.int64)
+        at = 0
+        while at < len(size):
+            before = size[at - 1] if at else 0
+            upto = max(at + 1, min(at + ENCODED_TEXTS, int(np.searchsorted(size, before + ENCODED_BYTES, "right"))))
+            yield batch.slice(at, upto - at)
+            at = upto
+
+
 _SEGMENT = "part int, seg int, doc_ids array<long>, lengths array<int>, ids binary, counts binary"
 
 
@@ -358,14 +374,15 @@ def _segments(path: str, end_id: int):
             held, seg = 0, seg + 1
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, types)], names=names)
 
-        for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                some = batch.slice(at, 512)
-                found, n = encoder.encode([t or b"" for t in some.column(1).to_pylist()], end_id)
-                docs += some.column(0).to_pylist()
-                counts.append(n)
-                ids.append(found)
-                held += len(found)
+        for some in _together(batches):
+            found, n = encoder.encode([t or b"" for t in some.column(1).to_pylist()], end_id)
+            ends = np.concatenate([[0], np.cumsum(n, dtype=np.int64)])
+            for at in range(0, len(n), SEGMENT_STEP):
+                upto = min(at + SEGMENT_STEP, len(n))
+                docs += some.column(0)[at:upto].to_pylist()
+                counts.append(n[at:upto])
+                ids.append(found[ends[at] : ends[upto]])
+                held += len(ids[-1])
                 if held >= SEGMENT_IDS:
                     yield close()
         if docs:
