@@ -3,9 +3,12 @@
 from collections import Counter, defaultdict
 
 import corpus_pipeline
+import pyarrow as pa
+from pyspark.sql import functions as F
 from tests.llm.conftest import SF
 from tests.llm.test_passages import _brute as brute_lines
 from tests.llm.test_simhash import brute_components, brute_fingerprint
+from tripkiln.llm import common, packing
 from tripkiln.llm.common import stage
 
 
@@ -65,3 +68,22 @@ def test_stages_on_edge_rows(spark, edge_docs, no_docs):
             df = stage(step(spark, df, SF), "test")
             assert name == "best_fit_packing" or df.columns == columns
         assert (df.count() > 0) == (start is edge_docs)
+
+
+def test_text_batches_end_at_a_few_megabytes(spark):
+    """A task holds few MB of texts at once, not 10,000 texts whatever their length."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "64m")
+        texts = spark.range(0, 9_000, 1, 1).select(F.repeat(F.lit("words "), 1_000).alias("text"))
+        packing.pack_documents(texts)
+        seen = texts.mapInArrow(lambda bs: (pa.RecordBatch.from_arrays([pa.array([b.num_rows])], names=["n"]) for b in bs), "n long")
+        sized = texts.select(F.max(F.arrow_udf(lambda c: pa.array([len(c)] * len(c)), "long")("text")).alias("n"))
+        assert max(r["n"] for r in seen.collect()) * 6_000 < 2 * common.BATCH_BYTES
+        assert sized.first()["n"] * 6_000 < 2 * common.BATCH_BYTES
+        spark.conf.set(key, "100k")
+        common.small_batches(spark)
+        assert spark.conf.get(key) in ("100k", "102400b")
+    finally:
+        spark.conf.set(key, before)

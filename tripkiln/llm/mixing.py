@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tripkiln.llm.common import fresh, size_udf, stage, table
+from tripkiln.llm.common import fresh, size_udf, small_batches, stage, table
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -246,6 +246,7 @@ def mix_by_source(
     are never taken; a null source is a source; every row, repeated ones too,
     gets its own number of copies. The rows are written once, and each
     later step reads the columns it needs from there."""
+    small_batches(docs.sparkSession)
     named = {"size", "source_size", "target", "copies"} | ({text.lower()} if drop_text else set())
     keep = [c for c in docs.columns if c.lower() not in named]
     th, name, no, members = fresh(docs.columns + sorted(named), "th", "name", "no", "members")

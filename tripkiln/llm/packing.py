@@ -21,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripkiln.llm.common import fresh, size_udf, table
+from tripkiln.llm.common import fresh, size_udf, small_batches, table
 from tripkiln.llm.sharding import assign_slots
 
 BIN_SIZES = (512, 1024, 2048, 4096)
@@ -169,6 +169,7 @@ def pack(
 
 def pack_documents(docs: DataFrame, text: str = "text", sizes: Sequence[int] = BIN_SIZES) -> DataFrame:
     """The documents' word counts packed; texts themselves are not moved."""
+    small_batches(docs.sparkSession)
     keep = [c for c in docs.columns if c != text]
     (size,) = fresh(docs.columns, "size")
     return pack(docs.select(*keep, size_udf(text).alias(size)), size, sizes).drop(size)

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripkiln.llm.common import fresh, sorted_groups, stage, table
+from tripkiln.llm.common import fresh, sorted_groups, small_batches, stage, table
 from tripkiln.llm.components import connected_components
 
 SHINGLE_WORDS = 4
@@ -206,6 +206,7 @@ def simhash_groups(
     ``component_id``. Null and empty texts have fingerprint 0 and link like
     any other; repeated rows come back repeated; a null id counts for links
     but never names a group unless the whole group has none."""
+    small_batches(docs.sparkSession)
     fps = stage(docs.select(F.col(id_col).alias("id"), fingerprint(F.col(text_col), shingle).alias("fp")), "simhash")
     groups = fingerprint_components(fps, max_bits, "id")
     return fps.join(groups, "fp").select(
@@ -219,6 +220,7 @@ def drop_near_copies(
     """One document of each group stays: the one with the smallest id (no id:
     last), then the smallest hash of its text. Rows that repeat both are one
     document and come back once. All columns are kept."""
+    small_batches(docs.sparkSession)
     (th,) = fresh(docs.columns + ["id", "fp", "first_th", "component"], "th")
     key = F.xxhash64(F.col(text_col)).alias(th)
     fps = stage(docs.select(F.col(id_col).alias("id"), key, fingerprint(F.col(text_col), shingle).alias("fp")), "simhash")

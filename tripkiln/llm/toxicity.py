@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripkiln.llm.common import fresh, stage, table
+from tripkiln.llm.common import fresh, small_batches, stage, table
 
 #: Labelled rows that the fit reads at most, a quarter of them toxic if there are as many; they weigh as the rows they are drawn from.
 TRAIN_ROWS = 24_000
@@ -232,6 +232,7 @@ def fit_toxicity(
     texts (two at least); ``dense``: toxic, with more than one mark in
     ``DENSE_WORDS`` words. Without a labelled text of both classes nothing is
     toxic."""
+    small_batches(docs.sparkSession)
     slim = labels.select(F.col(id_col).alias("id"), F.col(label).cast("int").alias("y"))
     train, stands_for = training_rows(docs, slim, train_rows, id_col, text_col)
     sizes = {int(r["y"] > 0): r["n"] for r in train.groupBy((F.col("y") > 0).cast("int").alias("y")).agg(F.count("*").alias("n")).collect()}
@@ -307,6 +308,7 @@ def score_toxicity(docs: DataFrame, chain: Chain, text_col: str = "text", thresh
     probability reaches ``threshold``, the chain's own unless given); columns of these names are replaced.
     Null and empty texts have no features and are judged by the bias alone;
     every row gets its own answer, so repeated rows agree."""
+    small_batches(docs.sparkSession)
     new = [f"p_{c}" for c in chain.categories] + ["toxic"]
     keep = [c for c in docs.columns if c.lower() not in new]
     (p,) = fresh(keep + new, "p")
